@@ -5,13 +5,10 @@ Nothing here is sampled: every derivation covers its whole source table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions.money import line_amount, money
-from ledgerloom.functions.text import date_text
+from ledgerloom.functions.money import MONEY, line_amount
 from ledgerloom.operators import geography
 
 QUOTE_FIRST, QUOTE_LAST = "1995-01-01", "2024-01-31"
@@ -31,45 +28,33 @@ class Tables:
         return self.spark.read.schema(schemas.TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
-def currency_of(nation_key: Column) -> Column:
-    return F.concat(F.lit("CUR"), (nation_key % 4).cast("string"))
-
-
-def country_code(nation_key: Column) -> Column:
-    return F.concat(F.lit("N"), nation_key.cast("string"))
-
-
-def event_k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
+K = "CAST(get_json_object(props, '$.k') AS INT)"
 
 
 def product_rollup(spark: SparkSession) -> DataFrame:
     """SKU to department to segment."""
-    dept = F.when(F.col("sku") < 4, "D1").otherwise("D2")
-    return (
-        spark.range(8)
-        .select(F.col("id").cast("int").alias("sku"))
-        .select("sku", dept.alias("department"))
-        .withColumn("product_segment", F.when(F.col("department") == "D1", "S1").otherwise("S2"))
+    return spark.range(8).selectExpr(
+        "CAST(id AS INT) AS sku",
+        "CASE WHEN id < 4 THEN 'D1' ELSE 'D2' END AS department",
+        "CASE WHEN id < 4 THEN 'S1' ELSE 'S2' END AS product_segment",
     )
 
 
 def fx_quotes(t: Tables) -> DataFrame:
     """Weekday quotes per currency; currency 0 is the reporting currency."""
-    day = F.col("day")
-    age = F.date_diff(day, F.lit(QUOTE_FIRST).cast("date"))
-    moving = F.lit(1000) + F.col("idx") * 250 + age % 29
-    rate = moving.cast("decimal(9,0)") * F.lit("0.001").cast("decimal(4,3)")
-    days = F.sequence(F.lit(QUOTE_FIRST).cast("date"), F.lit(QUOTE_LAST).cast("date"))
+    moving = f"1000 + idx * 250 + date_diff(day, DATE'{QUOTE_FIRST}') % 29"
+    rate = f"CAST({moving} AS DECIMAL(9,0)) * CAST(0.001 AS DECIMAL(4,3))"
     return (
-        t.nation.select((F.col("n_nationkey") % 4).alias("idx"))
+        t.nation.selectExpr("n_nationkey % 4 AS idx")
         .distinct()
-        .select("idx", F.explode(days).alias("day"))
-        .filter(~F.dayofweek("day").isin(1, 7))
-        .select(
-            currency_of(F.col("idx")).alias("currency"),
+        .selectExpr(
+            "idx", f"explode(sequence(DATE'{QUOTE_FIRST}', DATE'{QUOTE_LAST}')) AS day"
+        )
+        .filter("dayofweek(day) NOT IN (1, 7)")
+        .selectExpr(
+            "concat('CUR', idx) AS currency",
             "day",
-            F.when(F.col("idx") == 0, F.lit(1)).otherwise(rate).cast("decimal(18,8)").alias("rate"),
+            f"CAST(CASE WHEN idx = 0 THEN 1 ELSE {rate} END AS DECIMAL(18,8)) AS rate",
         )
     )
 
@@ -77,38 +62,27 @@ def fx_quotes(t: Tables) -> DataFrame:
 def country_aliases(t: Tables) -> DataFrame:
     """Folded spelling to country code and name."""
     return geography.alias_table(
-        t.nation.select(
-            country_code(F.col("n_nationkey")).alias("country"),
-            F.col("n_name").alias("country_name"),
-        )
+        t.nation.selectExpr("concat('N', n_nationkey) AS country", "n_name AS country_name")
     )
 
 
 def store_customers(t: Tables) -> DataFrame:
     """Store customer master: mixed-case and padded emails, countries spelt five ways."""
-    key, name = F.col("c_custkey"), F.col("n_name")
-    spelling = (
-        F.when(key % 5 == 0, name)
-        .when(key % 5 == 1, F.lower(name))
-        .when(key % 5 == 2, F.concat(F.lit(" "), name, F.lit(" ")))
-        .when(key % 5 == 3, F.replace(name, F.lit("_"), F.lit(" ")))
-        .otherwise(country_code(F.col("c_nationkey")))
-    )
-    address = F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com"))
-    email = (
-        F.when(key % 33 == 0, F.lit(None).cast("string"))
-        .when(key % 3 == 0, F.initcap(address))
-        .when(key % 3 == 1, F.concat(F.lit("  "), address, F.lit(" ")))
-        .otherwise(address)
-    )
-    nations = t.nation.select("n_nationkey", "n_name")
-    return t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        key.alias("cust_id"),
-        F.col("c_name").alias("name"),
-        email.alias("email"),
-        spelling.alias("country_text"),
-        F.col("c_mktsegment").alias("segment"),
-        money(F.col("c_acctbal")).alias("balance"),
+    address = "concat('c', c_custkey, '@example.com')"
+    return t.customer.join(
+        t.nation.select("n_nationkey", "n_name"), F.expr("c_nationkey = n_nationkey"), "left"
+    ).selectExpr(
+        "c_custkey AS cust_id",
+        "c_name AS name",
+        f"""CASE WHEN c_custkey % 33 = 0 THEN NULL
+                 WHEN c_custkey % 3 = 0 THEN initcap({address})
+                 WHEN c_custkey % 3 = 1 THEN concat('  ', {address}, ' ')
+                 ELSE {address} END AS email""",
+        """CASE c_custkey % 5 WHEN 0 THEN n_name WHEN 1 THEN lower(n_name)
+                WHEN 2 THEN concat(' ', n_name, ' ') WHEN 3 THEN replace(n_name, '_', ' ')
+                ELSE concat('N', c_nationkey) END AS country_text""",
+        "c_mktsegment AS segment",
+        f"CAST(c_acctbal AS {MONEY}) AS balance",
     )
 
 
@@ -125,59 +99,61 @@ def web_accounts(t: Tables) -> DataFrame:
 def conformed_customers(t: Tables) -> DataFrame:
     """Store customers with their country folded to its code; currency follows the country."""
     folded = geography.conform_country(store_customers(t), country_aliases(t), "country_text")
-    number = F.regexp_extract("country", "([0-9]+)$", 1).try_cast("int")
-    return folded.select(
-        "cust_id", "name", "email", "segment", "country", currency_of(number).alias("currency")
+    number = "try_cast(regexp_extract(country, '([0-9]+)$', 1) AS INT)"
+    return folded.selectExpr(
+        "cust_id", "name", "email", "segment", "country", f"concat('CUR', {number} % 4) AS currency"
     )
 
 
+LINE_SHAPE = [
+    "channel", "order_key", "order_date", "cust_id", "sku", "units", "amount", "is_cancelled",
+    "segment", "country", "currency",
+]
+
+
 def store_sales(t: Tables) -> DataFrame:
-    """Store sale lines in the shared line shape."""
+    """Store sale lines in the shared line shape.
+
+    Orders meet customers first, so the line items, by far the widest side, shuffle once and as raw
+    columns; amounts are computed behind the join. The two facts are joined by shuffle whatever
+    their size: neither is ever sent whole to every executor.
+    """
     buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
-    orders = (
-        t.orders.select(
-            F.col("o_orderkey").alias("order_key"),
-            F.col("o_custkey").alias("cust_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            (F.col("o_orderstatus") == "P").alias("is_cancelled"),
+    orders = t.orders.selectExpr(
+        "o_orderkey AS order_key", "o_custkey AS cust_id",
+        "CAST(o_orderdate AS DATE) AS order_date", "o_orderstatus = 'P' AS is_cancelled",
+    ).join(buyers, "cust_id", "left")
+    lines = t.lineitem.selectExpr(
+        "l_orderkey AS order_key", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
+    ).hint("merge")
+    return lines.join(orders, "order_key").withColumns(
+        {
+            "channel": F.lit("store"),
+            "sku": F.expr("CAST(l_partkey % 8 AS INT)"),
+            "units": F.expr("CAST(l_quantity AS BIGINT)"),
+            "amount": line_amount(F.col("l_extendedprice"), F.col("l_discount")),
+        }
+    ).select(*LINE_SHAPE)
+
+
+def web_sales(t: Tables) -> DataFrame:
+    """Web sale lines in the shared line shape; SKUs 98 and 99 are in no catalogue."""
+    buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
+    return (
+        web_purchases(t)
+        .selectExpr(
+            "'web' AS channel", "user_id AS order_key", "CAST(ts AS DATE) AS order_date",
+            "user_id AS cust_id", "CASE WHEN k >= 98 THEN k ELSE k % 8 END AS sku",
+            "CAST(1 AS BIGINT) AS units", "amount", "event_id % 20 = 0 AS is_cancelled",
         )
         .join(buyers, "cust_id", "left")
-    )
-    lines = t.lineitem.select(
-        F.col("l_orderkey").alias("order_key"),
-        (F.col("l_partkey") % 8).cast("int").alias("sku"),
-        F.col("l_quantity").cast("bigint").alias("units"),
-        line_amount(F.col("l_extendedprice"), F.col("l_discount")).alias("amount"),
-    )
-    return lines.join(orders, "order_key").select(
-        F.lit("store").alias("channel"), "order_key", "order_date", "cust_id", "sku", "units",
-        "amount", "is_cancelled", "segment", "country", "currency",
+        .select(*LINE_SHAPE)
     )
 
 
 def web_purchases(t: Tables) -> DataFrame:
-    return t.events.filter(F.col("event_type") == "purchase").select(
-        "event_id", "ts", "user_id", event_k(F.col("props")).alias("k"),
-        money(F.col("value")).alias("amount"),
-    )
-
-
-def web_sales(t: Tables) -> DataFrame:
-    """Web sale lines in the shared line shape; SKUs 8 and up are in no catalogue."""
-    buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
-    k = F.col("k")
-    lines = web_purchases(t).select(
-        F.col("user_id").alias("order_key"),
-        F.col("ts").cast("date").alias("order_date"),
-        F.col("user_id").alias("cust_id"),
-        F.when(k >= 98, k).otherwise(k % 8).alias("sku"),
-        F.lit(1).cast("bigint").alias("units"),
-        "amount",
-        (F.col("event_id") % 20 == 0).alias("is_cancelled"),
-    )
-    return lines.join(buyers, "cust_id", "left").select(
-        F.lit("web").alias("channel"), "order_key", "order_date", "cust_id", "sku", "units",
-        "amount", "is_cancelled", "segment", "country", "currency",
+    return t.events.filter("event_type = 'purchase'").selectExpr(
+        "event_id", "ts", "user_id", f"{K} AS k", f"CAST(value AS {MONEY}) AS amount"
     )
 
 
@@ -212,7 +188,7 @@ def web_orders_nested(t: Tables, page_size: int = 10_000) -> DataFrame:
 
 def redelivered_lines(t: Tables) -> DataFrame:
     """Line items with the second copy of a share of them."""
-    again = t.lineitem.filter(F.col("l_orderkey") % REDELIVERED_EVERY == 0)
+    again = t.lineitem.filter(f"l_orderkey % {REDELIVERED_EVERY} = 0")
     return t.lineitem.withColumn("delivery_no", F.lit(1)).unionByName(
         again.withColumn("delivery_no", F.lit(2))
     )
@@ -220,84 +196,49 @@ def redelivered_lines(t: Tables) -> DataFrame:
 
 def store_order_events(t: Tables) -> DataFrame:
     """Order events with a quantity that is not always a number."""
-    quantity = F.when(F.col("l_orderkey") % 50 == 7, F.lit("N/A")).otherwise(
-        F.col("l_quantity").cast("bigint").cast("string")
-    )
-    return t.lineitem.select(
-        F.col("l_orderkey").alias("order_key"),
-        F.col("l_linenumber").alias("line_no"),
-        F.col("l_partkey").alias("part_key"),
-        F.col("l_suppkey").alias("supp_key"),
-        quantity.alias("quantity_text"),
-        money(F.col("l_extendedprice")).alias("price"),
-        F.col("l_discount").alias("discount"),
+    return t.lineitem.selectExpr(
+        "l_orderkey AS order_key", "l_linenumber AS line_no", "l_partkey AS part_key",
+        "l_suppkey AS supp_key",
+        """CASE WHEN l_orderkey % 50 = 7 THEN 'N/A'
+                ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END AS quantity_text""",
+        f"CAST(l_extendedprice AS {MONEY}) AS price",
+        "l_discount AS discount",
     )
 
 
 def change_envelopes(t: Tables) -> DataFrame:
     """Change log of one row per shopper; ``before`` is left empty, as a log may do."""
-    op = (
-        F.when(F.col("event_type") == "signup", "c")
-        .when(F.col("event_type") == "error", "d")
-        .otherwise("u")
-    )
-    row = F.struct(
-        money(F.col("value")).alias("value"),
-        "event_type",
-        event_k(F.col("props")).alias("k"),
-    )
-    none = F.lit(None).cast(schemas.CHANGE_ROW)
-    return t.events.select(
-        F.col("user_id").alias("key"),
-        F.col("event_id").alias("lsn"),
-        "ts",
-        op.alias("op"),
-        none.alias("before"),
-        F.when(op == "d", none).otherwise(row).alias("after"),
+    row = f"named_struct('value', CAST(value AS {MONEY}), 'event_type', event_type, 'k', {K})"
+    none = f"CAST(NULL AS {schemas.CHANGE_ROW.simpleString()})"
+    return t.events.selectExpr(
+        "user_id AS key", "event_id AS lsn", "ts",
+        "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op",
+        f"{none} AS before",
+        f"CASE WHEN event_type <> 'error' THEN {row} END AS after",
     )
 
 
 def run_events(t: Tables) -> DataFrame:
     """A run-event log in the declared run-event shape."""
-    kind_of = F.col("event_type")
-    k = F.col("k")
-    text = F.lit(None).cast("string")
     names = schemas.PRODUCERS_OBSERVED + schemas.PRODUCERS_CLAIMED + ["Mystery"]
-    producer = reduce(
-        lambda chain, pair: chain.when(k % 8 == pair[0], pair[1]),
-        list(enumerate(names))[1:],
-        F.when(k % 8 == 0, names[0]),
-    )
-    click, view = kind_of == "click", kind_of == "view"
-    signup, error = kind_of == "signup", kind_of == "error"
-    lost = (kind_of == "purchase") & (k < 5)
-    return (
-        t.events.withColumn("k", event_k(F.col("props")))
-        .select(
-            (F.col("user_id") % 10).alias("run"),
-            F.col("event_id").alias("seq"),
-            F.when(click, "activity")
-            .when(view, "lineage")
-            .when(signup | error, "job")
-            .when(lost, "dropped")
-            .otherwise("table")
-            .alias("kind"),
-            F.when(signup & (k % 2 == 0), "Started")
-            .when(signup, "Completed")
-            .when(error & (k % 3 == 0), "Cancelled")
-            .when(error | (click & (k < 10)), "Failed")
-            .when(click, "Succeeded")
-            .alias("status"),
-            F.when(signup | error, "Nightly").otherwise(text).alias("job_type"),
-            F.when(error, F.concat(F.lit("r"), k.cast("string"))).alias("failure_reason"),
-            F.when(click, F.concat(F.lit("step"), (k % 4).cast("string"))).alias("activity"),
-            F.when(click & k.between(10, 14), F.concat(F.lit("e"), k.cast("string"))).alias(
-                "error"
-            ),
-            F.when(click & (k >= 90), k % 3 + 1).alias("retry"),
-            F.when(view, producer).alias("producer"),
-            F.when(lost, (k + 1).cast("bigint")).alias("dropped"),
-        )
+    producers = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(names))
+    is_job = "event_type IN ('signup', 'error')"
+    is_lost = "event_type = 'purchase' AND k < 5"
+    return t.events.selectExpr("event_id", "user_id", "event_type", f"{K} AS k").selectExpr(
+        "user_id % 10 AS run",
+        "event_id AS seq",
+        f"""CASE WHEN event_type = 'click' THEN 'activity' WHEN event_type = 'view' THEN 'lineage'
+                 WHEN {is_job} THEN 'job' WHEN {is_lost} THEN 'dropped' ELSE 'table' END AS kind""",
+        """CASE event_type WHEN 'signup' THEN if(k % 2 = 0, 'Started', 'Completed')
+                WHEN 'error' THEN if(k % 3 = 0, 'Cancelled', 'Failed')
+                WHEN 'click' THEN if(k < 10, 'Failed', 'Succeeded') END AS status""",
+        f"CASE WHEN {is_job} THEN 'Nightly' END AS job_type",
+        "CASE WHEN event_type = 'error' THEN concat('r', k) END AS failure_reason",
+        "CASE WHEN event_type = 'click' THEN concat('step', k % 4) END AS activity",
+        "CASE WHEN event_type = 'click' AND k BETWEEN 10 AND 14 THEN concat('e', k) END AS error",
+        "CASE WHEN event_type = 'click' AND k >= 90 THEN k % 3 + 1 END AS retry",
+        f"CASE WHEN event_type = 'view' THEN CASE k % 8 {producers} END END AS producer",
+        f"CASE WHEN {is_lost} THEN CAST(k + 1 AS BIGINT) END AS dropped",
     )
 
 
@@ -376,10 +317,4 @@ def source_nodes(t: Tables) -> DataFrame:
 
 
 def order_days(t: Tables) -> DataFrame:
-    return t.orders.select(
-        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("date").alias("day")
-    )
-
-
-def day_label(day: Column) -> Column:
-    return date_text(day)
+    return t.orders.selectExpr("o_orderkey AS order_key", "CAST(o_orderdate AS DATE) AS day")

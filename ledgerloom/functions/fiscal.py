@@ -38,3 +38,17 @@ def fiscal_quarter(
 
 def calendar_year_label(day: Column) -> Column:
     return F.concat(F.lit("FY"), F.year(day).cast("string"))
+
+
+def fiscal_index(day: Column, start_month: int = FISCAL_START_MONTH) -> Column:
+    """One small integer per fiscal quarter (end-year label); cheaper to group by than labels."""
+    year = fiscal_year_number(day, start_month)
+    return year * 4 + F.quarter(_shifted(day, start_month)) - 1
+
+
+def year_of_index(index: Column) -> Column:
+    return F.concat(F.lit("FY"), F.floor(index / 4).cast("string"))
+
+
+def quarter_of_index(index: Column) -> Column:
+    return F.concat(year_of_index(index), F.lit("-Q"), (index % 4 + 1).cast("string"))

@@ -52,14 +52,18 @@ def money_is_decimal(catalogue: DataFrame, money_columns: Sequence[str]) -> Data
     return _violations(bad, "money_is_decimal", F.concat_ws(".", "table_name", "column_name"))
 
 
-def summary_conserves_revenue(summary: DataFrame, enriched: DataFrame) -> DataFrame:
-    """The summary holds exactly what the sale lines hold, sold and cancelled."""
+def line_totals(enriched: DataFrame) -> DataFrame:
+    """What the sale lines hold, sold and cancelled, in one row."""
     sold = F.when(~F.col("is_cancelled"), F.col("usd"))
     cancelled = F.when(F.col("is_cancelled"), F.col("usd"))
-    lines = enriched.agg(
+    return enriched.agg(
         total(sold).alias("revenue_usd"), total(cancelled).alias("cancelled_usd"),
         F.count("*").cast(TOTAL).alias("sale_lines"),
     )
+
+
+def summary_conserves_revenue(summary: DataFrame, of_lines: DataFrame) -> DataFrame:
+    """The summary holds exactly what the sale lines hold (``line_totals``)."""
     kept = summary.agg(
         total(F.col("revenue_usd")).alias("revenue_usd"),
         total(F.col("cancelled_usd")).alias("cancelled_usd"),
@@ -67,7 +71,7 @@ def summary_conserves_revenue(summary: DataFrame, enriched: DataFrame) -> DataFr
     )
     names = ["revenue_usd", "cancelled_usd", "sale_lines"]
     both = (
-        lines.unpivot([], names, "measure", "in_lines")
+        of_lines.unpivot([], names, "measure", "in_lines")
         .join(kept.unpivot([], names, "measure", "in_summary"), "measure", "full_outer")
     )
     bad = both.filter(~F.col("in_lines").eqNullSafe(F.col("in_summary")))

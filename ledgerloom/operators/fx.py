@@ -71,7 +71,7 @@ def with_rate(
     if bound <= broadcast_rows:
         calendar = F.broadcast(calendar)
     # Days past the last quote look up the last calendar day.
-    keyed = lines.withColumn("_on", F.least(F.col(day), last))
+    keyed = lines.withColumn("_on", F.when(F.col(day) > last, last).otherwise(F.col(day)))
     status = (
         F.when(F.col("rate").isNull(), MISSING)
         .when(F.col("rate_day") == F.col(day), QUOTED)

@@ -9,11 +9,16 @@ from ledgerloom.schemas import UNKNOWN
 
 
 def alias_table(countries: DataFrame) -> DataFrame:
-    """Folded spellings (name and code) of each country, one row per spelling."""
+    """Folded spellings (name and code) of each country, one row per spelling.
+
+    A spelling that two countries share goes to the first code, so a lookup never fans out.
+    """
     spellings = F.array(country_key(F.col("country_name")), country_key(F.col("country")))
-    return countries.select(
-        F.explode(spellings).alias("alias"), "country", "country_name"
-    ).dropDuplicates(["alias"])
+    pair = F.min(F.struct("country", "country_name")).alias("_first")
+    return (
+        countries.select(F.explode(spellings).alias("alias"), "country", "country_name")
+        .groupBy("alias").agg(pair).select("alias", "_first.*")
+    )
 
 
 def conform_country(rows: DataFrame, aliases: DataFrame, text: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.fiscal import fiscal_quarter, fiscal_year
+from ledgerloom.functions import fiscal
 from ledgerloom.functions.money import total, total_where
 from ledgerloom.operators import fx
 from ledgerloom.schemas import SUMMARY_AXES, UNKNOWN
@@ -31,8 +31,8 @@ def with_products(lines: DataFrame, products: DataFrame) -> DataFrame:
 def with_fiscal(lines: DataFrame, day: str = "order_date") -> DataFrame:
     return lines.withColumns(
         {
-            "fiscal_year": fiscal_year(F.col(day)),
-            "fiscal_quarter": fiscal_quarter(F.col(day)),
+            "fiscal_year": fiscal.fiscal_year(F.col(day)),
+            "fiscal_quarter": fiscal.fiscal_quarter(F.col(day)),
         }
     )
 
@@ -48,7 +48,7 @@ def enrich(lines: DataFrame, products: DataFrame, quotes: DataFrame) -> DataFram
     )
 
 
-def line_measures() -> dict:
+def line_measures() -> dict[str, Column]:
     """Measures of the summary: revenue is net of cancelled lines, which are summed apart."""
     sold = ~F.col("is_cancelled")
     usd = F.col("usd")
@@ -62,8 +62,16 @@ def line_measures() -> dict:
 
 
 def revenue_summary(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy(*SUMMARY_AXES).agg(
-        *[column.alias(name) for name, column in line_measures().items()]
+    """Seven axes and five measures. Grouped by quarter number; labels are made per group."""
+    index = F.col("_quarter")
+    axes = [a for a in SUMMARY_AXES if not a.startswith("fiscal")]
+    grouped = enriched.groupBy(fiscal.fiscal_index(F.col("order_date")).alias("_quarter"), *axes)
+    measured = grouped.agg(*[column.alias(name) for name, column in line_measures().items()])
+    return measured.select(
+        fiscal.year_of_index(index).alias("fiscal_year"),
+        fiscal.quarter_of_index(index).alias("fiscal_quarter"),
+        *axes,
+        *line_measures(),
     )
 
 

@@ -12,6 +12,7 @@ from ledgerloom.functions import fiscal
 from ledgerloom.operators import contracts, measures, metadata
 from ledgerloom.plans import common, sql
 from ledgerloom.plans.registry import query
+from ledgerloom.session import cut
 
 BUILT, BROKEN = "built", "broken"
 
@@ -32,7 +33,7 @@ WHERE channel NOT IN (SELECT channel FROM summary)
 UNION ALL SELECT 'channels_present', 'web', 'broken'""",
 )
 def both_channels_present(t: Tables) -> DataFrame:
-    summary = common.summary(t)
+    summary = cut(common.summary(t))
     return both(
         contracts.channels_present(summary),
         contracts.channels_present(summary.filter(F.col("channel") != "web")),
@@ -121,7 +122,8 @@ UNION ALL SELECT 'summary_conserves_revenue',
 )
 def summary_conserves_revenue(t: Tables) -> DataFrame:
     """The summary keeps the lines' totals; one that lost a channel does not."""
-    lines, summary = common.enriched(t), common.summary(t)
+    lines = cut(contracts.line_totals(common.enriched(t)))
+    summary = cut(common.summary(t))
     return both(
         contracts.summary_conserves_revenue(summary, lines),
         contracts.summary_conserves_revenue(summary.filter(F.col("channel") == "store"), lines),
@@ -193,7 +195,7 @@ SELECT 'not_all_zero' AS contract, 'every total is zero' AS detail, 'broken' AS
 FROM (SELECT count(*) FROM lineitem)""",
 )
 def not_all_zero(t: Tables) -> DataFrame:
-    summary = common.summary(t)
+    summary = cut(common.summary(t))
     return both(
         contracts.not_all_zero(measures.grand_totals(summary)),
         contracts.not_all_zero(measures.grand_totals(summary.filter("units < 0"))),

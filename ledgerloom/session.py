@@ -36,6 +36,7 @@ def local_session(cores: int | str = 8, name: str = "ledgerloom") -> SparkSessio
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.stateStore.maintenanceInterval", "600s")
     )
     spark = tune(builder.getOrCreate())
