@@ -29,3 +29,9 @@ def total(amount: Column) -> Column:
 
 def total_where(flag: Column, amount: Column) -> Column:
     return total(F.when(flag, amount))
+
+
+def total_text(amount: str, where: str | None = None) -> str:
+    """The same total as SQL text, over the rows of a condition."""
+    picked = f" FILTER (WHERE {where})" if where else ""
+    return f"CAST(coalesce(sum({amount}){picked}, 0) AS {TOTAL})"

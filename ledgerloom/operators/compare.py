@@ -38,21 +38,28 @@ def refuse_all_zero(snapshot: DataFrame) -> DataFrame:
 
 
 def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of either multiset that the other lacks, with the side that holds them."""
-    only_left = left.exceptAll(right).withColumn("side", F.lit("left"))
-    only_right = right.exceptAll(left).withColumn("side", F.lit("right"))
-    return only_left.unionByName(only_right)
+    """Rows that one multiset holds more often than the other: the side, and how many more.
+
+    Both sides meet in one aggregate that combines map-side, so a row repeated without end costs
+    its task one partial row per map partition, and each input is read once.
+    """
+    columns = left.columns
+    plus = left.withColumn("_copy", F.lit(1).cast("bigint"))
+    minus = right.select(*columns).withColumn("_copy", F.lit(-1).cast("bigint"))
+    net = plus.unionByName(minus).groupBy(*columns).agg(F.sum("_copy").alias("_net"))
+    return net.filter("_net <> 0").select(
+        *columns,
+        F.expr("CASE WHEN _net > 0 THEN 'left' ELSE 'right' END").alias("side"),
+        F.abs("_net").alias("copies"),
+    )
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: how many rows each side has alone, and whether the multisets are equal."""
-    return (
-        differing_rows(left, right)
-        .agg(
-            F.count_if(F.col("side") == "left").alias("left_only"),
-            F.count_if(F.col("side") == "right").alias("right_only"),
-        )
-        .withColumn("equal", (F.col("left_only") == 0) & (F.col("right_only") == 0))
+    return differing_rows(left, right).selectExpr(
+        "coalesce(sum(copies) FILTER (WHERE side = 'left'), 0) AS left_only",
+        "coalesce(sum(copies) FILTER (WHERE side = 'right'), 0) AS right_only",
+        "count(*) = 0 AS equal",
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.money import convert
@@ -33,54 +36,54 @@ def carry_forward(
     )
 
 
-def rate_calendar(quotes: DataFrame, last_day: Column) -> DataFrame:
-    """Every day a quote is in force: its own day and those up to the next quote."""
-    by_day = Window.partitionBy("currency").orderBy("day")
-    daily = quotes.groupBy("currency", "day").agg(F.max("rate").alias("rate"))
-    until = F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), last_day)
-    return (
-        daily.withColumn("_until", until)
-        .select("currency", "rate", F.col("day").alias("rate_day"),
-                F.explode(F.sequence("day", "_until")).alias("_on"))
-    )
+class Calendar(NamedTuple):
+    """Rates for every day up to ``last``; ``last`` is None when there are no quotes."""
 
+    rates: DataFrame
+    last: datetime.date | None
 
-def with_rate(
-    lines: DataFrame, quotes: DataFrame, day: str = "order_date",
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Each line with its currency's rate on the day, or the last earlier one.
 
-    The theta join becomes an equi-join with a dense calendar. The calendar is broadcast only when
-    currencies x days is counted to be small; beyond that it is a shuffle join on (currency, day),
-    whose hot keys AQE splits. Lines before the first quote keep a null rate.
+def calendar(quotes: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Calendar:
+    """Quotes made dense: each is in force on its own day and up to the day before the next.
+
+    An as-of join on dates thereby becomes an equi-join. The calendar is marked for broadcast only
+    when currencies x days, counted here, is small; beyond that it is a shuffle join on
+    (currency, day), whose hot keys AQE splits. A currency's window holds one row per day at most.
     """
-    seen = quotes.agg(
-        F.min("day").alias("first"), F.max("day").alias("last"),
-        F.count_distinct("currency").alias("currencies"),
+    seen = quotes.selectExpr(
+        "min(day) AS first", "max(day) AS last", "count(DISTINCT currency) AS currencies"
     ).first()
-    if seen["last"] is None:
-        none = F.lit(None)
-        return lines.withColumns(
-            {"rate": none.cast("decimal(18,8)"), "rate_day": none.cast("date"),
-             "rate_status": F.lit(MISSING)}
+    last = seen["last"]
+    until = f"DATE'{last}'" if last else "day"
+    by_day = "OVER (PARTITION BY currency ORDER BY day)"
+    rates = (
+        quotes.groupBy("currency", "day").agg(F.max("rate").alias("rate"))
+        .selectExpr(
+            "currency", "rate", "day", f"coalesce(lead(day) {by_day} - 1, {until}) AS _until"
+        )
+        .selectExpr(
+            "currency", "rate", "day AS rate_day", "explode(sequence(day, _until)) AS _on"
         )
-    last = F.lit(seen["last"])
-    bound = seen["currencies"] * ((seen["last"] - seen["first"]).days + 1)
-    calendar = rate_calendar(quotes, last)
-    if bound <= broadcast_rows:
-        calendar = F.broadcast(calendar)
-    # Days past the last quote look up the last calendar day.
-    keyed = lines.withColumn("_on", F.when(F.col(day) > last, last).otherwise(F.col(day)))
-    status = (
-        F.when(F.col("rate").isNull(), MISSING)
-        .when(F.col("rate_day") == F.col(day), QUOTED)
-        .otherwise(CARRIED)
     )
+    if last and seen["currencies"] * ((last - seen["first"]).days + 1) <= broadcast_rows:
+        rates = F.broadcast(rates)
+    return Calendar(rates, last)
+
+
+def with_rate(lines: DataFrame, rates: Calendar, day: str = "order_date") -> DataFrame:
+    """Each line with its currency's rate on the day, or the last earlier one.
+
+    Days past the last quote look up the last calendar day; lines before the first quote keep a
+    null rate.
+    """
+    on = f"CASE WHEN {day} > DATE'{rates.last}' THEN DATE'{rates.last}' ELSE {day} END"
+    keyed = lines.withColumn("_on", F.expr(on if rates.last else day))
+    status = f"""CASE WHEN rate IS NULL THEN '{MISSING}'
+                      WHEN rate_day = {day} THEN '{QUOTED}' ELSE '{CARRIED}' END"""
     return (
-        keyed.join(calendar, ["currency", "_on"], "left")
+        keyed.join(rates.rates, ["currency", "_on"], "left")
         .drop("_on")
-        .withColumn("rate_status", status)
+        .withColumn("rate_status", F.expr(status))
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.text import default_if_missing, missing_if_blank
+from ledgerloom.functions.text import default_if_missing
 from ledgerloom.schemas import (
     FINDINGS_SHOWN,
     JOB_STATUS_FINE,
@@ -16,51 +16,34 @@ from ledgerloom.schemas import (
 GRAPH = "GRAPH"
 
 
-def finding() -> Column:
-    """``struct(tag, why)`` of one event, or null. The first rule that fires wins."""
-    kind = F.col("kind")
-    status = missing_if_blank(F.col("status"))
-    error = missing_if_blank(F.col("error"))
-    step = F.coalesce("activity", F.lit("?"))
-    producer = F.coalesce("producer", F.lit(""))
+def _listed(names: list[str]) -> str:
+    return ", ".join(f"'{name}'" for name in names)
 
-    def found(tag: str, why: Column) -> Column:
-        return F.struct(F.lit(tag).alias("tag"), why.alias("why"))
 
-    lost = F.coalesce("dropped", F.lit(0)).cast("string")
-    job_text = F.concat(
-        F.coalesce("job_type", F.lit("?")), F.lit(" -> "), status, F.lit(" "),
-        F.coalesce("failure_reason", F.lit("")),
-    )
-    is_activity = kind == "activity"
-    return (
-        F.when(kind == "dropped", found("DROPPED", F.concat(F.lit("events lost: "), lost)))
-        .when(
-            (kind == "job") & status.isNotNull() & ~status.isin(JOB_STATUS_FINE),
-            found("JOB", F.trim(job_text)),
-        )
-        .when(
-            is_activity & (error.isNotNull() | (status == STATUS_FAILED)),
-            found("ACTIVITY", F.concat(step, F.lit(": "), F.coalesce(error, status))),
-        )
-        .when(
-            is_activity & (F.coalesce("retry", F.lit(0)) != 0),
-            found("RETRY", F.concat(step, F.lit(": attempt "), F.col("retry").cast("string"))),
-        )
-        .when(
-            (kind == "lineage") & ~producer.isin(PRODUCERS_OBSERVED + PRODUCERS_CLAIMED),
-            found("LINEAGE", F.concat(F.lit("producer not known: "), producer)),
-        )
-    )
+# The first rule that fires wins. Empty text counts as missing, a retry of 0 as none.
+_TAG = f"""
+CASE WHEN kind = 'dropped' THEN 'DROPPED'
+     WHEN kind = 'job' AND nullif(status, '') NOT IN ({_listed(JOB_STATUS_FINE)}) THEN 'JOB'
+     WHEN kind = 'activity' AND (nullif(error, '') IS NOT NULL OR status = '{STATUS_FAILED}')
+       THEN 'ACTIVITY'
+     WHEN kind = 'activity' AND coalesce(retry, 0) <> 0 THEN 'RETRY'
+     WHEN kind = 'lineage' AND coalesce(producer, '')
+       NOT IN ({_listed(PRODUCERS_OBSERVED + PRODUCERS_CLAIMED)}) THEN 'LINEAGE'
+END"""
+_WHY = """
+CASE tag
+  WHEN 'DROPPED' THEN concat('events lost: ', coalesce(dropped, 0))
+  WHEN 'JOB' THEN trim(concat(coalesce(job_type, '?'), ' -> ', status, ' ',
+                              coalesce(failure_reason, '')))
+  WHEN 'ACTIVITY' THEN concat(coalesce(activity, '?'), ': ', coalesce(nullif(error, ''), status))
+  WHEN 'RETRY' THEN concat(coalesce(activity, '?'), ': attempt ', retry)
+  WHEN 'LINEAGE' THEN concat('producer not known: ', coalesce(producer, ''))
+END"""
 
 
 def classify(events: DataFrame) -> DataFrame:
     """All events with ``tag`` and ``why``, null where nothing is remarkable."""
-    return (
-        events.withColumn("_finding", finding())
-        .withColumns({"tag": F.col("_finding.tag"), "why": F.col("_finding.why")})
-        .drop("_finding")
-    )
+    return events.withColumn("tag", F.expr(_TAG)).withColumn("why", F.expr(_WHY))
 
 
 def kind_counts(events: DataFrame) -> DataFrame:

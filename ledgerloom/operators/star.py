@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import fiscal
-from ledgerloom.functions.money import total, total_where
+from ledgerloom.functions.money import total, total_text
 from ledgerloom.operators import fx
 from ledgerloom.schemas import SUMMARY_AXES, UNKNOWN
 
@@ -20,10 +20,11 @@ def union_channels(*channels: DataFrame) -> DataFrame:
 def with_products(lines: DataFrame, products: DataFrame) -> DataFrame:
     """SKU to department and segment; a SKU in no catalogue keeps its line and is flagged."""
     joined = lines.join(products.select("sku", "department", "product_segment"), "sku", "left")
-    return joined.withColumn("is_unknown_sku", F.col("department").isNull()).withColumns(
+    return joined.withColumns(
         {
-            "department": F.coalesce("department", F.lit(UNKNOWN)),
-            "product_segment": F.coalesce("product_segment", F.lit(UNKNOWN)),
+            "is_unknown_sku": F.expr("department IS NULL"),
+            "department": F.expr(f"coalesce(department, '{UNKNOWN}')"),
+            "product_segment": F.expr(f"coalesce(product_segment, '{UNKNOWN}')"),
         }
     )
 
@@ -37,28 +38,25 @@ def with_fiscal(lines: DataFrame, day: str = "order_date") -> DataFrame:
     )
 
 
-def enrich(lines: DataFrame, products: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Everything the facts need on each line: product, fiscal labels, rate and USD amount."""
-    priced = fx.to_usd(fx.with_rate(with_products(lines, products), quotes))
-    return with_fiscal(priced).withColumns(
+def enrich(lines: DataFrame, products: DataFrame, rates: fx.Calendar) -> DataFrame:
+    """Everything the facts need on each line: product, rate, USD amount, labels."""
+    priced = fx.to_usd(fx.with_rate(with_products(lines, products), rates))
+    return priced.withColumns(
         {
-            "customer_segment": F.coalesce("segment", F.lit(UNKNOWN)),
-            "country": F.coalesce("country", F.lit(UNKNOWN)),
+            "customer_segment": F.expr(f"coalesce(segment, '{UNKNOWN}')"),
+            "country": F.expr(f"coalesce(country, '{UNKNOWN}')"),
         }
     )
 
 
-def line_measures() -> dict[str, Column]:
-    """Measures of the summary: revenue is net of cancelled lines, which are summed apart."""
-    sold = ~F.col("is_cancelled")
-    usd = F.col("usd")
-    return {
-        "sale_lines": F.count("*"),
-        "units": F.sum("units"),
-        "revenue_usd": total_where(sold, usd),
-        "cancelled_usd": total_where(F.col("is_cancelled"), usd),
-        "carried_rate_usd": total_where(sold & (F.col("rate_status") == fx.CARRIED), usd),
-    }
+# Measures of the summary: revenue is net of cancelled lines, which are summed apart.
+LINE_MEASURES = {
+    "sale_lines": "count(*)",
+    "units": "sum(units)",
+    "revenue_usd": total_text("usd", "NOT is_cancelled"),
+    "cancelled_usd": total_text("usd", "is_cancelled"),
+    "carried_rate_usd": total_text("usd", f"NOT is_cancelled AND rate_status = '{fx.CARRIED}'"),
+}
 
 
 def revenue_summary(enriched: DataFrame) -> DataFrame:
@@ -66,28 +64,31 @@ def revenue_summary(enriched: DataFrame) -> DataFrame:
     index = F.col("_quarter")
     axes = [a for a in SUMMARY_AXES if not a.startswith("fiscal")]
     grouped = enriched.groupBy(fiscal.fiscal_index(F.col("order_date")).alias("_quarter"), *axes)
-    measured = grouped.agg(*[column.alias(name) for name, column in line_measures().items()])
+    measured = grouped.agg(*[F.expr(e).alias(name) for name, e in LINE_MEASURES.items()])
     return measured.select(
         fiscal.year_of_index(index).alias("fiscal_year"),
         fiscal.quarter_of_index(index).alias("fiscal_quarter"),
         *axes,
-        *line_measures(),
+        *LINE_MEASURES,
     )
 
 
-def daily_revenue(enriched: DataFrame) -> DataFrame:
-    """Orders, units and net USD revenue by day and country.
+def daily_revenue(*channels: DataFrame) -> DataFrame:
+    """Orders, units and net USD revenue by day and country over the enriched channels.
 
-    Lines fold to one row per order first: that step combines map-side and makes the distinct
-    count of orders a plain count.
+    Lines fold to one row per order first, channel by channel: behind a join on the order key that
+    step needs no shuffle of its own, and it turns the distinct count of orders into a plain count.
     """
-    net = F.when(~F.col("is_cancelled"), F.col("usd"))
-    per_order = enriched.groupBy("channel", "order_key", "order_date", "country").agg(
-        F.sum("units").alias("units"), F.sum(net).alias("net")
-    )
-    return per_order.groupBy("order_date", "country").agg(
+    orders = [
+        lines.groupBy("order_key", "order_date", "country").agg(
+            F.sum("units").alias("units"),
+            F.expr("sum(usd) FILTER (WHERE NOT is_cancelled)").alias("net"),
+        )
+        for lines in channels
+    ]
+    return union_channels(*orders).groupBy("order_date", "country").agg(
         F.count("*").alias("orders"), F.sum("units").alias("units"),
-        total(F.col("net")).alias("revenue"),
+        F.expr(total_text("net")).alias("revenue"),
     )
 
 

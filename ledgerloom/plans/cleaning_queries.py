@@ -293,7 +293,7 @@ WHERE channel = 'store'"""
 
 @query("scl_05_fx_convert", sql.using(*sql.STAR) + CONVERTED_SQL)
 def fx_convert(t: Tables) -> DataFrame:
-    priced = fx.to_usd(fx.with_rate(fixtures.store_sales(t), fixtures.fx_quotes(t)))
+    priced = fx.to_usd(fx.with_rate(fixtures.store_sales(t), common.rates(t)))
     return priced.select("order_key", "order_date", "sku", "currency", "amount", "rate", "usd")
 
 

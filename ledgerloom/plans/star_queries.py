@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions import fiscal
-from ledgerloom.functions.money import total, total_where
+from ledgerloom.functions.money import total, total_text, total_where
 from ledgerloom.operators import clean, compare, fx, geography, identity, measures, metadata, star
 from ledgerloom.plans import common, sql
 from ledgerloom.plans.registry import query
@@ -73,7 +73,7 @@ SELECT channel, order_key, order_date, sku, currency, amount, rate, rate_day, ra
 FROM enriched""",
 )
 def fx_asof(t: Tables) -> DataFrame:
-    priced = fx.to_usd(fx.with_rate(common.sale_lines(t), fixtures.fx_quotes(t)))
+    priced = fx.to_usd(fx.with_rate(common.sale_lines(t), common.rates(t)))
     return priced.select(
         "channel", "order_key", "order_date", "sku", "currency", "amount", "rate", "rate_day",
         "rate_status", "usd",
@@ -140,12 +140,18 @@ QUARTERS = f"""quarters AS (
 )"""
 
 
+def priced_lines(t: Tables) -> DataFrame:
+    """Lines with their USD amount and nothing of the star's dimensions."""
+    return fx.to_usd(fx.with_rate(common.sale_lines(t), common.rates(t)))
+
+
 def quarters_from_lines(t: Tables) -> DataFrame:
-    """Quarter totals straight from the lines; shares no step with the summary."""
-    lines = common.enriched(t)
-    return lines.groupBy(fiscal.fiscal_quarter(F.col("order_date")).alias("fiscal_quarter")).agg(
-        total_where(~F.col("is_cancelled"), F.col("usd")).alias("revenue_usd"),
-        total_where(F.col("is_cancelled"), F.col("usd")).alias("cancelled_usd"),
+    """Quarter totals straight from the lines; the summary, its axes and labels are not involved."""
+    return priced_lines(t).groupBy(
+        fiscal.fiscal_quarter(F.col("order_date")).alias("fiscal_quarter")
+    ).agg(
+        F.expr(total_text("usd", "NOT is_cancelled")).alias("revenue_usd"),
+        F.expr(total_text("usd", "is_cancelled")).alias("cancelled_usd"),
     )
 
 
@@ -184,7 +190,7 @@ SELECT metric, value AS value_a, value AS value_b, TRUE AS agrees FROM (
 )
 def snapshot_compare(t: Tables) -> DataFrame:
     """Totals of the summary against totals of the lines, metric by metric."""
-    lines = common.enriched(t).agg(
+    lines = priced_lines(t).agg(
         total_where(~F.col("is_cancelled"), F.col("usd")).alias("revenue_usd"),
         total_where(F.col("is_cancelled"), F.col("usd")).alias("cancelled_usd"),
         F.count("*").alias("sale_lines"),
@@ -412,13 +418,13 @@ def order_insensitive_equality(t: Tables) -> DataFrame:
 @query(
     "set_05_differing_rows",
     """
-SELECT o_orderkey AS order_key, side, status FROM (
-  SELECT o_orderkey, 'left' AS side, 'P' AS status FROM orders WHERE o_orderstatus = 'P'
-  UNION ALL SELECT o_orderkey, 'right', 'F' FROM orders WHERE o_orderstatus = 'P')""",
+SELECT CAST(o_orderdate AS DATE) AS day, side, status, count(*) AS copies FROM (
+  SELECT o_orderdate, 'left' AS side, 'P' AS status FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT o_orderdate, 'right', 'F' FROM orders WHERE o_orderstatus = 'P')
+GROUP BY ALL""",
 )
 def differing_rows(t: Tables) -> DataFrame:
     """Orders against a copy in which one status was rewritten."""
-    left = t.orders.select(F.col("o_orderkey").alias("order_key"),
-                           F.col("o_orderstatus").alias("status"))
+    left = t.orders.selectExpr("CAST(o_orderdate AS DATE) AS day", "o_orderstatus AS status")
     rewritten = F.when(F.col("status") == "P", "F").otherwise(F.col("status"))
     return compare.differing_rows(left, left.withColumn("status", rewritten))

@@ -45,16 +45,16 @@ def rated(frame):
 
 
 def test_each_line_takes_the_last_rate_and_none_is_lost(spark):
-    assert rated(fx.with_rate(lines(spark), quotes(spark))) == EXPECTED
+    assert rated(fx.with_rate(lines(spark), fx.calendar(quotes(spark)))) == EXPECTED
 
 
 def test_a_calendar_too_large_to_broadcast_gives_the_same(spark):
-    frame = fx.with_rate(lines(spark), quotes(spark), broadcast_rows=0)
+    frame = fx.with_rate(lines(spark), fx.calendar(quotes(spark), broadcast_rows=0))
     assert rated(frame) == EXPECTED
 
 
 def test_no_quotes_at_all(spark):
-    frame = fx.with_rate(lines(spark), quotes(spark).filter("false"))
+    frame = fx.with_rate(lines(spark), fx.calendar(quotes(spark).filter("false")))
     assert {v for v in rated(frame).values()} == {(None, "missing")}
 
 

@@ -56,8 +56,9 @@ def test_large_calendar_is_not_broadcast(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         lines, quotes = fixtures.store_sales(tables), fixtures.fx_quotes(tables)
-        assert "BroadcastHashJoin" in plan(fx.with_rate(lines, quotes), "simple")
-        assert "BroadcastHashJoin" not in plan(fx.with_rate(lines, quotes, broadcast_rows=10), "simple")
+        small, large = fx.calendar(quotes), fx.calendar(quotes, broadcast_rows=10)
+        assert "BroadcastHashJoin" in plan(fx.with_rate(lines, small), "simple")
+        assert "BroadcastHashJoin" not in plan(fx.with_rate(lines, large), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
