@@ -42,7 +42,10 @@ def both_channels_present(t: Tables) -> DataFrame:
 
 @query(
     "dq_02_country_resolves",
-    sql.using(sql.STORE_CUSTOMERS) + """
+    sql.using(*sql.STAR, sql.STORE_CUSTOMERS) + """
+SELECT DISTINCT 'country_resolves' AS contract, country AS detail, 'built' AS frame
+FROM enriched WHERE country NOT IN (SELECT 'N' || n_nationkey FROM nation)
+UNION ALL
 SELECT 'country_resolves' AS contract, country_text AS detail, 'broken' AS frame
 FROM (SELECT DISTINCT country_text FROM store_customers)
 WHERE country_text NOT IN (SELECT 'N' || n_nationkey FROM nation)""",

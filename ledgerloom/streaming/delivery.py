@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators import cdc
 from ledgerloom.schemas import struct
@@ -17,7 +17,7 @@ def markers(spark: SparkSession, folder: str, files_per_batch: int | None = None
     """Delivery ids announced by marker files; a second notice of a delivery is dropped.
 
     The stream watches the marker folder and never the data files, so a delivery of many parts is
-    one event.
+    one event. The state is one id per delivery ever announced.
     """
     reader = spark.readStream.format("text")
     if files_per_batch:
@@ -26,10 +26,18 @@ def markers(spark: SparkSession, folder: str, files_per_batch: int | None = None
     return notices.select(F.trim("value").alias("delivery_id")).dropDuplicates(["delivery_id"])
 
 
+def parts_and_rows(landed: DataFrame) -> DataFrame:
+    """What a refresh saw of each delivery."""
+    return landed.groupBy("delivery_id").agg(
+        F.count_distinct("part").alias("parts"), F.count("*").alias("n_rows")
+    )
+
+
 def refresh_on_marker(
-    announced: DataFrame, landing: Callable[[], DataFrame], folder: str, checkpoint: str
+    announced: DataFrame, landing: Callable[[], DataFrame], folder: str, checkpoint: str,
+    build: Callable[[DataFrame], DataFrame] = parts_and_rows, schema: T.StructType = RUNS,
 ) -> DataFrame:
-    """One refresh per delivery: its landed parts and rows, computed from its own files only.
+    """One refresh per delivery: ``build`` runs once on the landed rows of what was announced.
 
     The announced ids are joined to the landing table on its partition column, so only announced
     folders are read. No id passes through the driver.
@@ -37,13 +45,10 @@ def refresh_on_marker(
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         rows = landing().join(batch, "delivery_id", "left_semi")
-        runs = rows.groupBy("delivery_id").agg(
-            F.count_distinct("part").alias("parts"), F.count("*").alias("n_rows")
-        )
-        batchlog.write_batch(runs, batch_id, folder)
+        batchlog.write_batch(build(rows), batch_id, folder)
 
     batchlog.run_available(announced.writeStream.foreachBatch(refresh), checkpoint)
-    return batchlog.read_log(announced.sparkSession, folder, RUNS)
+    return batchlog.read_log(announced.sparkSession, folder, schema)
 
 
 def gate(read: DataFrame, expected: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import pathlib
 from collections import Counter
 
 import duckdb
@@ -18,7 +19,10 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+        path = pathlib.Path(folder) / f"{table}.parquet"
+        if path.exists():
+            files = path / "*.parquet" if path.is_dir() else path
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 
