@@ -45,13 +45,13 @@ def history(changes: DataFrame, chunk: int = 100_000) -> DataFrame:
     of a run where the next one begins.
     """
     rest = [c for c in changes.columns if c not in ("key", "lsn")]
-    once = changes.dropDuplicates(["key", "lsn"]).select(
-        "key", "lsn", *rest, F.floor(F.col("lsn") / chunk).alias("_run")
-    )
+    in_runs = changes.withColumn("_run", F.floor(F.col("lsn") / chunk))
+    once = in_runs.dropDuplicates(["key", "lsn"])
     in_run = Window.partitionBy("key", "_run").orderBy("lsn")
     by_run = Window.partitionBy("key").orderBy("_run")
+    # A replayed change does not move the head of its run, so this side needs no deduplication.
     heads = (
-        once.groupBy("key", "_run")
+        in_runs.groupBy("key", "_run")
         .agg(F.min_by("ts", "lsn").alias("_head"))
         .select("key", "_run", F.lead("_head").over(by_run).alias("_next_head"))
     )

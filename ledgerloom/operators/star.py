@@ -38,10 +38,14 @@ def with_fiscal(lines: DataFrame, day: str = "order_date") -> DataFrame:
     )
 
 
+def price(lines: DataFrame, rates: fx.Calendar) -> DataFrame:
+    """Rate and USD amount of each line."""
+    return fx.to_usd(fx.with_rate(lines, rates))
+
+
 def enrich(lines: DataFrame, products: DataFrame, rates: fx.Calendar) -> DataFrame:
-    """Everything the facts need on each line: product, rate, USD amount, labels."""
-    priced = fx.to_usd(fx.with_rate(with_products(lines, products), rates))
-    return priced.withColumns(
+    """Everything the summary needs on each line: product, rate, USD amount, labels."""
+    return price(with_products(lines, products), rates).withColumns(
         {
             "customer_segment": F.expr(f"coalesce(segment, '{UNKNOWN}')"),
             "country": F.expr(f"coalesce(country, '{UNKNOWN}')"),
@@ -74,13 +78,15 @@ def revenue_summary(enriched: DataFrame) -> DataFrame:
 
 
 def daily_revenue(*channels: DataFrame) -> DataFrame:
-    """Orders, units and net USD revenue by day and country over the enriched channels.
+    """Orders, units and net USD revenue by day and country over the priced channels.
 
     Lines fold to one row per order first, channel by channel: behind a join on the order key that
     step needs no shuffle of its own, and it turns the distinct count of orders into a plain count.
     """
     orders = [
-        lines.groupBy("order_key", "order_date", "country").agg(
+        lines.groupBy(
+            "order_key", "order_date", F.expr(f"coalesce(country, '{UNKNOWN}')").alias("country")
+        ).agg(
             F.sum("units").alias("units"),
             F.expr("sum(usd) FILTER (WHERE NOT is_cancelled)").alias("net"),
         )

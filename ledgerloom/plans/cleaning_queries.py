@@ -8,7 +8,7 @@ from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions import fiscal, money, text
 from ledgerloom.functions.encoding import digest, parse_json, row_json
-from ledgerloom.operators import cdc, clean, fx
+from ledgerloom.operators import cdc, clean, fx, star
 from ledgerloom.plans import common, sql
 from ledgerloom.plans.landing_queries import to_model
 from ledgerloom.plans.registry import query
@@ -67,8 +67,6 @@ FROM enriched GROUP BY ALL""",
 )
 def keep_flagged_rows(t: Tables) -> DataFrame:
     """Cancelled lines and unknown SKUs stay, marked; the counts add up to all lines."""
-    from ledgerloom.operators import star
-
     lines_ = star.with_products(common.sale_lines(t), fixtures.product_rollup(t.spark))
     flagged = clean.flag(lines_, is_cancelled=F.col("is_cancelled"))
     return flagged.groupBy("channel", "is_cancelled", "is_unknown_sku").agg(
@@ -293,8 +291,7 @@ WHERE channel = 'store'"""
 
 @query("scl_05_fx_convert", sql.using(*sql.STAR) + CONVERTED_SQL)
 def fx_convert(t: Tables) -> DataFrame:
-    priced = fx.to_usd(fx.with_rate(fixtures.store_sales(t), common.rates(t)))
-    return priced.select("order_key", "order_date", "sku", "currency", "amount", "rate", "usd")
+    return star.price(fixtures.store_sales(t), common.rates(t)).select("order_key", "order_date", "sku", "currency", "amount", "rate", "usd")
 
 
 @query(

@@ -21,13 +21,10 @@ def enriched(t: Tables) -> DataFrame:
     return star.enrich(sale_lines(t), fixtures.product_rollup(t.spark), rates(t))
 
 
-def enriched_channels(t: Tables) -> list[DataFrame]:
+def priced_channels(t: Tables) -> list[DataFrame]:
     """The channels apart, so that each keeps the partitioning of its own joins."""
-    products, calendar = fixtures.product_rollup(t.spark), rates(t)
-    return [
-        star.enrich(lines, products, calendar)
-        for lines in (fixtures.store_sales(t), fixtures.web_sales(t))
-    ]
+    calendar = rates(t)
+    return [star.price(s, calendar) for s in (fixtures.store_sales(t), fixtures.web_sales(t))]
 
 
 def enriched_store(t: Tables) -> DataFrame:
@@ -39,7 +36,7 @@ def summary(t: Tables) -> DataFrame:
 
 
 def daily(t: Tables) -> DataFrame:
-    return star.daily_revenue(*enriched_channels(t))
+    return star.daily_revenue(*priced_channels(t))
 
 
 def people(t: Tables) -> DataFrame:

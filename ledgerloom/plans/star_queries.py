@@ -73,8 +73,7 @@ SELECT channel, order_key, order_date, sku, currency, amount, rate, rate_day, ra
 FROM enriched""",
 )
 def fx_asof(t: Tables) -> DataFrame:
-    priced = fx.to_usd(fx.with_rate(common.sale_lines(t), common.rates(t)))
-    return priced.select(
+    return priced_lines(t).select(
         "channel", "order_key", "order_date", "sku", "currency", "amount", "rate", "rate_day",
         "rate_status", "usd",
     )
@@ -142,7 +141,7 @@ QUARTERS = f"""quarters AS (
 
 def priced_lines(t: Tables) -> DataFrame:
     """Lines with their USD amount and nothing of the star's dimensions."""
-    return fx.to_usd(fx.with_rate(common.sale_lines(t), common.rates(t)))
+    return star.price(common.sale_lines(t), common.rates(t))
 
 
 def quarters_from_lines(t: Tables) -> DataFrame:
