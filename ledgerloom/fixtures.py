@@ -31,6 +31,17 @@ class Tables:
 K = "CAST(get_json_object(props, '$.k') AS INT)"
 
 
+def events_with_k(t: Tables) -> DataFrame:
+    """Events with ``k`` of their JSON properties, for uses that look at it many times.
+
+    ``json_tuple`` parses once per row; an expression would be copied into every later condition.
+    """
+    columns = [c for c in schemas.TABLES["events"].names if c != "props"]
+    return t.events.select(*columns, F.json_tuple("props", "k").alias("k")).withColumn(
+        "k", F.col("k").cast("int")
+    )
+
+
 def product_rollup(spark: SparkSession) -> DataFrame:
     """SKU to department to segment."""
     return spark.range(8).selectExpr(
@@ -111,8 +122,8 @@ LINE_SHAPE = [
 ]
 
 
-def store_sales(t: Tables) -> DataFrame:
-    """Store sale lines in the shared line shape.
+def store_sales(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
+    """Store sale lines in the shared line shape, from the given or other line items.
 
     Orders meet customers first, so the line items, by far the widest side, shuffle once and as raw
     columns; amounts are computed behind the join. The two facts are joined by shuffle whatever
@@ -123,7 +134,7 @@ def store_sales(t: Tables) -> DataFrame:
         "o_orderkey AS order_key", "o_custkey AS cust_id",
         "CAST(o_orderdate AS DATE) AS order_date", "o_orderstatus = 'P' AS is_cancelled",
     ).join(buyers, "cust_id", "left")
-    lines = t.lineitem.selectExpr(
+    lines = (t.lineitem if lineitem is None else lineitem).selectExpr(
         "l_orderkey AS order_key", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
     ).hint("merge")
     return lines.join(orders, "order_key").withColumns(
@@ -136,11 +147,11 @@ def store_sales(t: Tables) -> DataFrame:
     ).select(*LINE_SHAPE)
 
 
-def web_sales(t: Tables) -> DataFrame:
+def web_sales(t: Tables, purchases: DataFrame | None = None) -> DataFrame:
     """Web sale lines in the shared line shape; SKUs 98 and 99 are in no catalogue."""
     buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
     return (
-        web_purchases(t)
+        (web_purchases(t) if purchases is None else purchases)
         .selectExpr(
             "'web' AS channel", "user_id AS order_key", "CAST(ts AS DATE) AS order_date",
             "user_id AS cust_id", "CASE WHEN k >= 98 THEN k ELSE k % 8 END AS sku",
@@ -224,7 +235,7 @@ def run_events(t: Tables) -> DataFrame:
     producers = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(names))
     is_job = "event_type IN ('signup', 'error')"
     is_lost = "event_type = 'purchase' AND k < 5"
-    return t.events.selectExpr("event_id", "user_id", "event_type", f"{K} AS k").selectExpr(
+    return events_with_k(t).selectExpr(
         "user_id % 10 AS run",
         "event_id AS seq",
         f"""CASE WHEN event_type = 'click' THEN 'activity' WHEN event_type = 'view' THEN 'lineage'

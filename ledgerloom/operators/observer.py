@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.text import default_if_missing
 from ledgerloom.schemas import (
     FINDINGS_SHOWN,
     JOB_STATUS_FINE,
@@ -139,7 +138,3 @@ def top_findings(found: DataFrame, shown: int = FINDINGS_SHOWN) -> DataFrame:
         F.col("n").cast("string").alias("why"),
     )
     return count.unionByName(head)
-
-
-def status_label(status: Column) -> Column:
-    return default_if_missing(status, "?")

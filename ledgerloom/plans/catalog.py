@@ -5,6 +5,7 @@ from ledgerloom.plans import (  # noqa: F401
     contract_queries,
     landing_queries,
     lineage_queries,
+    medallion,
     observer_queries,
     star_queries,
     stream_queries,

@@ -67,14 +67,18 @@ RUN_SUMMARY_SQL = """
 SELECT *, observed = 0 AND claimed + unknown > 0 AS all_claimed, loss_signals > 0 AS incomplete
 FROM run_summary"""
 
-# One run whose witnessed edges are all taken away, so that the run-level rule has something to say.
-PICKED = f"picked AS (SELECT * FROM run_events WHERE NOT (run = 3 AND kind = 'lineage' AND coalesce({OBSERVED}, FALSE)))"
+# One run whose witnessed edges are reported as claims, so that the run-level rule has something
+# to say.
+PICKED = f"""picked AS (
+  SELECT * REPLACE (CASE WHEN run = 3 AND {OBSERVED} THEN 'Reported' ELSE producer END AS producer)
+  FROM run_events
+)"""
 
 
 def events_with_a_claimed_run(t: Tables) -> DataFrame:
-    events = fixtures.run_events(t)
-    witnessed = F.coalesce(F.col("producer").isin(schemas.PRODUCERS_OBSERVED), F.lit(False))
-    return events.filter(~((F.col("run") == 3) & witnessed))
+    witnessed = (F.col("run") == 3) & F.col("producer").isin(schemas.PRODUCERS_OBSERVED)
+    claimed = F.when(witnessed, schemas.PRODUCERS_CLAIMED[1]).otherwise(F.col("producer"))
+    return fixtures.run_events(t).withColumn("producer", claimed)
 
 
 @query(

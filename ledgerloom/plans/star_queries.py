@@ -404,8 +404,14 @@ def union_channels(t: Tables) -> DataFrame:
 @query(
     "set_05_order_insensitive_equality",
     """
-SELECT CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only, TRUE AS equal
-FROM (SELECT count(*) FROM lineitem)""",
+WITH delivered AS (
+  SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 34 = 0
+), cleaned AS (SELECT DISTINCT * FROM delivered), base AS (SELECT DISTINCT * FROM lineitem),
+counted AS (
+  SELECT (SELECT count(*) FROM (SELECT * FROM cleaned EXCEPT ALL SELECT * FROM base)) AS left_only,
+         (SELECT count(*) FROM (SELECT * FROM base EXCEPT ALL SELECT * FROM cleaned)) AS right_only
+)
+SELECT left_only, right_only, left_only = 0 AND right_only = 0 AS equal FROM counted""",
 )
 def order_insensitive_equality(t: Tables) -> DataFrame:
     """Line items cleaned of redeliveries against the distinct line items."""
