@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.money import convert
 
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 2_000_000  # some fifty bytes each
 QUOTED, CARRIED, MISSING = "quoted", "carried", "missing"
 
 

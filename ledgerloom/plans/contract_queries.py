@@ -248,10 +248,6 @@ def sorted_names(t: Tables) -> DataFrame:
     return generic_column_tests(t).agg(F.array_join(names, ",").alias("contracts"))
 
 
-def _reporting_columns() -> list[str]:
-    return schemas.SUMMARY.names
-
-
 @query(
     "agg_12_group_to_list",
     sql.using(*sql.STAR, sql.SUMMARY, sql.DAILY) + """
@@ -299,3 +295,62 @@ UNION ALL SELECT 'Customer', count(*) FROM (
 )
 def exported_row_counts(t: Tables) -> DataFrame:
     return metadata.row_counts(common.star_tables(t))
+
+
+STAR_SCHEMAS = {
+    "Revenue": schemas.DAILY, "Customer": schemas.DIM_CUSTOMER, "Country": schemas.DIM_COUNTRY,
+    "Reporting": schemas.SUMMARY,
+}
+STAR_SIZES = """sizes AS (
+  SELECT 'Revenue' AS table_name, count(*) AS n_rows FROM daily
+  UNION ALL SELECT 'Reporting', count(*) FROM summary
+  UNION ALL SELECT 'Country', count(*) FROM nation
+  UNION ALL SELECT 'Customer', count(*) FROM (
+    SELECT c_custkey FROM customer UNION
+    SELECT user_id FROM events WHERE user_id % 33 <> 0
+    UNION ALL SELECT DISTINCT user_id FROM events WHERE user_id % 33 = 0)
+)"""
+
+
+def _star_columns_sql() -> str:
+    listed = [
+        f"SELECT '{name}' AS table_name, CAST(unnest(range(1, {len(schema) + 1})) AS INTEGER) "
+        f"AS ordinal, unnest({schema.names}) AS column_name, "
+        f"unnest({[f.dataType.simpleString() for f in schema]}) AS type"
+        for name, schema in STAR_SCHEMAS.items()
+    ]
+    return "star_columns AS (" + "\n  UNION ALL ".join(listed) + ")"
+
+
+STAR_CATALOGUE = sql.using(*sql.STAR, sql.SUMMARY, sql.DAILY, STAR_SIZES, _star_columns_sql())
+
+
+@query(
+    "m_01_column_catalogue",
+    STAR_CATALOGUE + """
+SELECT table_name, ordinal, column_name, type, n_rows
+FROM star_columns JOIN sizes USING (table_name)""",
+)
+def column_catalogue(t: Tables) -> DataFrame:
+    """Columns of the reporting model as built, with the size of each table."""
+    tables = common.star_tables(t)
+    return metadata.catalogue(t.spark, tables).drop("schema_name").join(
+        metadata.row_counts(tables), "table_name"
+    )
+
+
+@query(
+    "m_04_star_drift",
+    STAR_CATALOGUE + """
+SELECT table_name, column_name, type AS declared_type, type AS observed_type, 'same' AS status,
+       n_rows
+FROM star_columns JOIN sizes USING (table_name)""",
+)
+def star_drift(t: Tables) -> DataFrame:
+    """Declared schemas of the reporting model against the tables as built."""
+    tables = common.star_tables(t)
+    declared = {n: t.spark.createDataFrame([], s) for n, s in STAR_SCHEMAS.items()}
+    drift = metadata.drift(
+        metadata.catalogue(t.spark, declared), metadata.catalogue(t.spark, tables)
+    )
+    return drift.join(metadata.row_counts(tables), "table_name")

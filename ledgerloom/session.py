@@ -15,6 +15,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even where that costs the parent one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state off the heap: keyed state grows with the number of keys.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_folders: dict[str, str] = {}

@@ -36,7 +36,8 @@ class StateTable:
     A batch writes only its own newest change per key, so the cost of a batch follows the batch and
     not the table. Every ``compact_every`` batches the deltas fold into a new base. Deletes stay as
     tombstones with their lsn, so a late older change cannot bring a row back, and all choices are
-    by lsn, so replaying a batch or receiving it out of order changes nothing.
+    by lsn, so replaying a batch or receiving it out of order changes nothing. Nothing here deletes
+    files: deltas and bases older than the newest announced base may be removed by the owner.
     """
 
     def __init__(self, spark: SparkSession, folder: str, compact_every: int = 20):
