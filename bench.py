@@ -36,7 +36,6 @@ HEADLINE = [
     "dq_05_summary_conserves_revenue",
     "lin_03_upstream_walk",
     "str_03_cdc_apply",
-    "snk_04_gold_from_layers",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 WARM_UPS = 2

@@ -27,10 +27,9 @@ def conform_country(rows: DataFrame, aliases: DataFrame, text: str) -> DataFrame
     The alias side is unique per key, so the row count stays. It is a small dimension; whether it
     is small enough to broadcast is left to Catalyst's size threshold.
     """
-    keyed = rows.withColumn("_alias", country_key(F.col(text)))
-    known = aliases.select(F.col("alias").alias("_alias"), "country")
-    return keyed.join(known, "_alias", "left").drop("_alias").withColumn(
-        "country", F.coalesce("country", F.lit(UNKNOWN))
+    known = aliases.select("alias", F.col("country").alias("_country"))
+    return rows.join(known, country_key(F.col(text)) == F.col("alias"), "left").select(
+        *rows.columns, F.coalesce("_country", F.lit(UNKNOWN)).alias("country")
     )
 
 
