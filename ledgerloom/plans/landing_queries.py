@@ -8,7 +8,7 @@ from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions.encoding import row_json
 from ledgerloom.functions.money import TOTAL
-from ledgerloom.operators import clean, measures, metadata
+from ledgerloom.operators import clean, measures, metadata, observer
 from ledgerloom.plans import common, sql
 from ledgerloom.plans.registry import query
 from ledgerloom.session import new_folder
@@ -388,8 +388,6 @@ SELECT run, seq, tag, why FROM classified WHERE tag IS NOT NULL AND seq % 40 <>
 )
 def jsonl_event_log(t: Tables) -> DataFrame:
     """Events streamed to a JSON Lines log; findings are re-examined from the log."""
-    from ledgerloom.operators import observer
-
     log, check = new_folder(t.spark, "event-log"), new_folder(t.spark, "event-log-check")
     events = lines.good_events(lines.parse_events(lines.follow(t.spark, landed_lines(t), 2)))
     observer_stream.log_as_json(events, log, check)
