@@ -25,6 +25,13 @@ from ledgerloom.llm.common import batches_with, new_folder, query, stored, table
 
 LOG_SCHEMA = "doc_id bigint, digest string, file string, row bigint"
 STATE_SCHEMA = "digest string, best struct<doc_id:bigint,file:string,row:bigint>, group_size bigint"
+# A run has few batches: each store is closed after its commit, so that a node holds open only the
+# stores of its running tasks, however many partitions the state has.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -54,8 +61,8 @@ def digest_log(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
 
 def run_state(spark: SparkSession, log: str, state: str, checkpoint: str) -> DataFrame:
     """Stream what is new in the ``log`` folder into the keyed state; the newest row per digest."""
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     grouped = (
         spark.readStream.schema(LOG_SCHEMA).parquet(log).groupBy("digest")
         .agg(F.max(F.struct("doc_id", "file", "row")).alias("best"), F.count("*").alias("group_size"))
