@@ -1,6 +1,6 @@
 """Loads every module with queries of this subpackage."""
 
-from ledgerloom.llm import chat_format, exact_dedup, mixing, sentencepiece_codec, url_filter  # noqa: F401
+from ledgerloom.llm import chat_format, exact_dedup, mixing, sentencepiece_codec, simhash_dedup, url_filter  # noqa: F401
 from ledgerloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
