@@ -1,6 +1,16 @@
 """Loads every module with queries of this subpackage."""
 
-from ledgerloom.llm import chat_format, exact_dedup, mixing, sentencepiece_codec, simhash_dedup, url_filter  # noqa: F401
+from ledgerloom.llm import (  # noqa: F401
+    chat_format,
+    exact_dedup,
+    language_id,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_codec,
+    simhash_dedup,
+    url_filter,
+)
 from ledgerloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
