@@ -7,6 +7,7 @@ from ledgerloom.llm import (  # noqa: F401
     mixing,
     quality_classifier,
     quality_rules,
+    secret_scan,
     sentencepiece_codec,
     simhash_dedup,
     url_filter,
