@@ -118,27 +118,32 @@ def conformed_customers(t: Tables) -> DataFrame:
 
 LINE_SHAPE = [
     "channel", "order_key", "order_date", "cust_id", "sku", "units", "amount", "is_cancelled",
-    "segment", "country", "currency",
+    "segment", "country", "currency", "is_orphan_order",
 ]
 
 
-def store_sales(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
-    """Store sale lines in the shared line shape, from the given or other line items.
+def store_sales(
+    t: Tables, lineitem: DataFrame | None = None, orders: DataFrame | None = None
+) -> DataFrame:
+    """Store sale lines in the shared line shape, from the given or other line items and orders.
 
+    A line whose order is not there stays, with ``is_orphan_order`` set and no day or buyer.
     Orders meet customers first, so the line items, by far the widest side, shuffle once and as raw
     columns; amounts are computed behind the join. The two facts are joined by shuffle whatever
     their size: neither is ever sent whole to every executor.
     """
     buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
-    orders = t.orders.selectExpr(
-        "o_orderkey AS order_key", "o_custkey AS cust_id",
+    orders = (t.orders if orders is None else orders).selectExpr(
+        "o_orderkey AS order_key", "o_custkey AS cust_id", "TRUE AS has_order",
         "CAST(o_orderdate AS DATE) AS order_date", "o_orderstatus = 'P' AS is_cancelled",
     ).join(buyers, "cust_id", "left")
     lines = (t.lineitem if lineitem is None else lineitem).selectExpr(
         "l_orderkey AS order_key", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
     ).hint("merge")
-    return lines.join(orders, "order_key").withColumns(
+    return lines.join(orders, "order_key", "left").withColumns(
         {
+            "is_orphan_order": F.col("has_order").isNull(),
+            "is_cancelled": F.coalesce("is_cancelled", F.lit(False)),
             "channel": F.lit("store"),
             "sku": F.expr("CAST(l_partkey % 8 AS INT)"),
             "units": F.expr("CAST(l_quantity AS BIGINT)"),
@@ -156,6 +161,7 @@ def web_sales(t: Tables, purchases: DataFrame | None = None) -> DataFrame:
             "'web' AS channel", "user_id AS order_key", "CAST(ts AS DATE) AS order_date",
             "user_id AS cust_id", "CASE WHEN k >= 98 THEN k ELSE k % 8 END AS sku",
             "CAST(1 AS BIGINT) AS units", "amount", "event_id % 20 = 0 AS is_cancelled",
+            "FALSE AS is_orphan_order",
         )
         .join(buyers, "cust_id", "left")
         .select(*LINE_SHAPE)
@@ -177,22 +183,18 @@ def offset_text(event_id: Column, ts: Column) -> Column:
     ).otherwise(F.concat(F.date_format(ts, pattern), F.lit("Z")))
 
 
-def web_orders_nested(t: Tables, page_size: int = 10_000) -> DataFrame:
-    """Baskets with their lines inside, on pages of at most ``page_size`` event ids.
-
-    A basket that spans pages comes as several parts, so no array outgrows a page.
-    """
+def web_orders_nested(t: Tables) -> DataFrame:
+    """Baskets (a shopper's purchases of one day) with their lines inside."""
     line = F.struct(
         "event_id",
         offset_text(F.col("event_id"), F.col("ts")).alias("placed_at"),
         "k",
         "amount",
     )
-    part = (F.col("event_id") / page_size).cast("bigint").alias("part")
     return (
         web_purchases(t)
-        .select("user_id", F.col("ts").cast("date").alias("placed_on"), part, line.alias("line"))
-        .groupBy("user_id", "placed_on", "part")
+        .select("user_id", F.col("ts").cast("date").alias("placed_on"), line.alias("line"))
+        .groupBy("user_id", "placed_on")
         .agg(F.array_sort(F.collect_list("line")).alias("lines"))
     )
 
@@ -217,15 +219,55 @@ def store_order_events(t: Tables) -> DataFrame:
     )
 
 
+CHANGE_TOPIC = "erp.shopper"
+CHANGE_BROKEN = "(event_id % 40 = 7 AND user_id % 4 = 3)"
+
+
 def change_envelopes(t: Tables) -> DataFrame:
-    """Change log of one row per shopper; ``before`` is left empty, as a log may do."""
+    """Change log of one row per shopper, as it is after reading; ``before`` is left empty.
+
+    A topic of four partitions by key. A delete is followed by its tombstone, and the third
+    partition has records that were cut off.
+    """
     row = f"named_struct('value', CAST(value AS {MONEY}), 'event_type', event_type, 'k', {K})"
     none = f"CAST(NULL AS {schemas.CHANGE_ROW.simpleString()})"
-    return t.events.selectExpr(
-        "user_id AS key", "event_id AS lsn", "ts",
-        "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op",
+    whole = lambda column: f"CASE WHEN kind = 'good' THEN {column} END"
+    kind = f"CASE WHEN {CHANGE_BROKEN} THEN 'broken' ELSE 'good' END"
+    kinds = f"CASE WHEN event_type = 'error' THEN array({kind}, 'tombstone') ELSE array({kind}) END"
+    return t.events.selectExpr("*", f"posexplode({kinds}) AS (place, kind)").selectExpr(
+        f"'{CHANGE_TOPIC}' AS topic", "CAST(user_id % 4 AS INT) AS topic_partition",
+        "2 * event_id + place AS topic_offset", "user_id AS key",
+        f"{whole('event_id')} AS lsn", f"{whole('ts')} AS ts",
+        whole("CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END") + " AS op",
         f"{none} AS before",
-        f"CASE WHEN event_type <> 'error' THEN {row} END AS after",
+        f"CASE WHEN kind = 'good' AND event_type <> 'error' THEN {row} END AS after",
+        """CASE kind WHEN 'broken' THEN concat('{"op": "', event_id) WHEN 'good' THEN 'parsed' END AS value""",
+        "kind",
+    )
+
+
+def change_records(t: Tables) -> DataFrame:
+    """The same log as topic records; half of the keys come wrapped with their schema."""
+    envelopes = change_envelopes(t)
+    plain = F.to_json(F.struct(
+        "before", "after", F.struct("lsn").alias("source"), "op",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+    ), {"ignoreNullFields": "false"})
+    wrapped = F.concat(F.lit('{"schema": {"type": "struct"}, "payload": '), plain, F.lit("}"))
+    key = F.concat(F.lit('{"user_id": '), F.col("key").cast("string"), F.lit("}"))
+    value = F.when(F.col("kind") == "good", F.when(F.col("key") % 2 == 0, wrapped).otherwise(plain))
+    return envelopes.select(
+        "topic", "topic_partition", "topic_offset", key.alias("key"),
+        F.when(F.col("kind") == "broken", F.col("value")).otherwise(value).alias("value"),
+    )
+
+
+def change_manifest(t: Tables) -> DataFrame:
+    """What the producer says it published, per topic partition."""
+    deleted = F.when(F.col("event_type") == "error", 1).otherwise(0)
+    return t.events.groupBy((F.col("user_id") % 4).cast("int").alias("topic_partition")).agg(
+        (F.count("*") + F.sum(deleted)).alias("expected_events"),
+        F.max(2 * F.col("event_id") + deleted).alias("expected_last"),
     )
 
 

@@ -2,24 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom.functions.encoding import BROKEN, parse_json
-from ledgerloom.schemas import CHANGE_ENVELOPE
+from ledgerloom.schemas import CHANGE_ENVELOPE, CHANGE_KEY, CHANGE_OPS, CHANGE_RECORD
 
+ORIGIN = ["topic", "topic_partition", "topic_offset"]
+GOOD, BAD, TOMBSTONE = "good", "broken", "tombstone"
 
-def read_envelopes(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Envelope JSON to columns; what does not parse keeps its text in ``_broken``."""
-    return lines.select(parse_json(F.col(text), CHANGE_ENVELOPE).alias("e")).select("e.*")
+
+def read_records(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Topic records from JSON lines; a line that is no record becomes a broken value."""
+    record = lines.select(parse_json(F.col(text), CHANGE_RECORD).alias("r"))
+    return record.select(
+        *[F.col(f"r.{c}") for c in (*ORIGIN, "key")],
+        F.coalesce(F.col("r.value"), F.col(f"r.{BROKEN}")).alias("value"),
+    )
+
+
+def _either(parsed: Column, field: str) -> Column:
+    """A field of a plain document, or of one that comes wrapped in ``payload``."""
+    return F.coalesce(parsed["payload"][field], parsed[field])
+
+
+def _wrapped(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("payload", schema)])
+
+
+def read_envelopes(records: DataFrame) -> DataFrame:
+    """Every record with its origin, its envelope and its kind: good, broken or tombstone.
+
+    A tombstone has no value. Broken is what does not parse, or lacks its key, log position, a
+    known operation, or the row of a change that is no delete; ``value`` keeps its text.
+    """
+    parsed = records.withColumns({
+        "_v": parse_json(F.col("value"), _wrapped(CHANGE_ENVELOPE)),
+        "_k": parse_json(F.col("key"), _wrapped(CHANGE_KEY)),
+    })
+    value, key = F.col("_v"), F.col("_k")
+    flat = parsed.select(
+        *ORIGIN, "value",
+        F.coalesce(_either(key, "user_id"), F.col("key").try_cast("bigint")).alias("key"),
+        _either(value, "source")["lsn"].alias("lsn"),
+        F.timestamp_micros(_either(value, "ts_us")).cast("timestamp_ntz").alias("ts"),
+        _either(value, "op").alias("op"),
+        _either(value, "before").alias("before"), _either(value, "after").alias("after"),
+        value[BROKEN].isNotNull().alias("_unread"),
+    )
+    whole = (
+        ~F.col("_unread") & F.col("key").isNotNull() & F.col("lsn").isNotNull()
+        & F.col("op").isin(CHANGE_OPS)
+        & ((F.col("op") == "d") | F.col("after").isNotNull())
+    )
+    kind = F.when(F.col("value").isNull(), TOMBSTONE).when(whole, GOOD).otherwise(BAD)
+    return flat.withColumn("kind", kind).drop("_unread")
 
 
-def unwrap(envelopes: DataFrame) -> DataFrame:
-    """One flat row per change: the row after it, or before it for a delete."""
+def unwrap(envelopes: DataFrame, origin: bool = False) -> DataFrame:
+    """One flat row per good change: the row after it, or before it for a delete.
+
+    The others are in ``broken`` and ``tombstones``; the three together are the input.
+    """
     row = F.coalesce("after", "before")
     flat = ["key", "lsn", "ts", "op", *[row[c].alias(c) for c in ("value", "event_type", "k")]]
-    if BROKEN in envelopes.columns:
-        envelopes = envelopes.filter(F.col(BROKEN).isNull())
-    return envelopes.select(*flat)
+    return envelopes.filter(F.col("kind") == GOOD).select(*(ORIGIN if origin else []), *flat)
+
+
+def broken(envelopes: DataFrame) -> DataFrame:
+    """What goes to quarantine: origin and text of each broken record."""
+    return envelopes.filter(F.col("kind") == BAD).select(*ORIGIN, "value")
+
+
+def tombstones(envelopes: DataFrame) -> DataFrame:
+    return envelopes.filter(F.col("kind") == TOMBSTONE).select(*ORIGIN, "key")
 
 
 def newest(changes: DataFrame, key: str = "key", lsn: str = "lsn") -> DataFrame:
@@ -68,20 +123,23 @@ def history(changes: DataFrame, chunk: int = 100_000) -> DataFrame:
     )
 
 
-def completeness(changes: DataFrame, expected: DataFrame) -> DataFrame:
-    """Events read per topic partition beside the independently stated numbers.
+def completeness(envelopes: DataFrame, expected: DataFrame) -> DataFrame:
+    """Records read per topic partition beside the producer's numbers.
 
-    ``expected``: topic_partition, expected_events, expected_last.
+    ``expected``: topic_partition, expected_events, expected_last (offset). Tombstones are records
+    too; a partition with a broken record is not complete.
     """
-    seen = changes.groupBy("topic_partition").agg(
-        F.count("*").alias("events_read"), F.max("lsn").alias("last_lsn")
+    seen = envelopes.groupBy("topic_partition").agg(
+        F.count("*").alias("events_read"), F.max("topic_offset").alias("last_offset"),
+        F.count_if(F.col("kind") == BAD).alias("broken"),
     )
     return (
         expected.join(seen, "topic_partition", "full_outer")
-        .withColumn("events_read", F.coalesce("events_read", F.lit(0)))
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("events_read", "broken")})
         .withColumn(
             "complete",
             F.col("events_read").eqNullSafe(F.col("expected_events"))
-            & F.col("last_lsn").eqNullSafe(F.col("expected_last")),
+            & F.col("last_offset").eqNullSafe(F.col("expected_last"))
+            & (F.col("broken") == 0),
         )
     )

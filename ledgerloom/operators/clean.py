@@ -8,19 +8,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def quarantine(rows: DataFrame, required: dict[str, tuple[str, str]]) -> DataFrame:
+def quarantine(
+    rows: DataFrame, required: dict[str, tuple[str, str]], corrupt: str | None = None
+) -> DataFrame:
     """Parse required fields and say why a row is bad; the input is kept whole.
 
-    ``required`` maps a new column to (source column, type). ``bad_reason`` is null on good rows.
+    ``required`` maps a new column to (source column, type). ``corrupt`` names the column that holds
+    the text of a row that no reader could take apart; such a row has that one reason.
+    ``bad_reason`` is null on good rows.
     """
     parsed = rows.withColumns(
         {new: F.col(source).try_cast(kind) for new, (source, kind) in required.items()}
     )
     reasons = [
-        F.when(F.col(new).isNull(), F.lit(f"{source} is not {kind}"))
+        F.when(F.col(source).isNull(), F.lit(f"{source} is missing"))
+        .when(F.col(new).isNull(), F.lit(f"{source} is not {kind}"))
         for new, (source, kind) in required.items()
     ]
     text = F.concat_ws("; ", *reasons)
+    if corrupt:
+        text = F.when(F.col(corrupt).isNotNull(), "row is corrupt").otherwise(text)
     return parsed.withColumn("bad_reason", F.nullif(text, F.lit("")))
 
 

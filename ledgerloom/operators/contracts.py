@@ -10,7 +10,7 @@ from ledgerloom.functions.fiscal import calendar_year_label
 from ledgerloom.functions.money import TOTAL, total
 from ledgerloom.operators.compare import refuse_all_zero
 from ledgerloom.operators.metadata import row_counts
-from ledgerloom.schemas import CHANNELS
+from ledgerloom.schemas import CHANNELS, FISCAL_START_MONTH
 
 
 def _violations(rows: DataFrame, contract: str, detail: Column) -> DataFrame:
@@ -36,7 +36,7 @@ def country_resolves(facts: DataFrame, countries: DataFrame, key: str = "country
 
 def fiscal_is_not_calendar(rows: DataFrame, day: str, label: str) -> DataFrame:
     """Before the start month the fiscal label must be the calendar year, after it the next one."""
-    expected = F.when(F.month(day) < 4, calendar_year_label(F.col(day))).otherwise(
+    expected = F.when(F.month(day) < FISCAL_START_MONTH, calendar_year_label(F.col(day))).otherwise(
         calendar_year_label(F.add_months(day, 12))
     )
     bad = rows.filter(~F.col(label).eqNullSafe(expected)).select(day, label).distinct()
@@ -140,6 +140,21 @@ def relationship(rows: DataFrame, column: str, parent: DataFrame, parent_column:
     )
 
 
+def no_orphan_lines(lines: DataFrame) -> DataFrame:
+    """Each sale line has its order. One violation, with the number of lines that have none."""
+    lost = lines.agg(F.count_if("is_orphan_order").alias("n")).filter(F.col("n") > 0)
+    return _violations(lost, "no_orphan_lines", F.concat_ws(" ", F.lit("lines"), F.col("n").cast("string")))
+
+
+def rate_is_known(lines: DataFrame) -> DataFrame:
+    """Each priced line found a rate. One violation per currency, with its number of lines."""
+    lost = lines.filter(F.col("rate_status") == "missing").groupBy("currency").agg(F.count("*").alias("n"))
+    return _violations(
+        lost, "rate_is_known",
+        F.concat_ws(" ", F.coalesce("currency", F.lit("none")), F.col("n").cast("string")),
+    )
+
+
 def not_all_zero(snapshot: DataFrame) -> DataFrame:
     refused = refuse_all_zero(snapshot).filter("refused")
     return _violations(refused, "not_all_zero", F.lit("every total is zero"))

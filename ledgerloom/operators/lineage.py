@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.observer import standing
@@ -33,33 +35,33 @@ def phantom_counts(moves: DataFrame) -> DataFrame:
     )
 
 
-def phantom_edges(moves: DataFrame, step: str, most: int = 1_000_000) -> DataFrame:
-    """The phantom edges of one step by name, where their counted number is small.
+def phantom_edges(moves: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """The phantom edges into some targets by name; ``phantom_counts`` answers for all.
 
-    The listing is a product by nature, so a step with more phantoms than ``most`` is refused and
-    answered by ``phantom_counts`` instead.
+    Each reader of a step meets the given targets of its step, and no others.
     """
-    of_step = moves.filter(F.col("step") == step)
-    size = phantom_counts(of_step).agg(F.coalesce(F.sum("phantom_edges"), F.lit(0))).first()[0]
-    if size > most:
-        raise ValueError(f"step {step} has {size} phantom edges; use phantom_counts")
-    reads = of_step.select("step", F.explode("reads").alias("src")).distinct()
-    writes = of_step.select("step", F.explode("writes").alias("dst")).distinct()
-    flat = reads.join(writes, "step").select("src", "dst")
-    return flat.subtract(edges(of_step).select("src", "dst"))
-
-
-def ancestors(links: DataFrame, start: DataFrame, max_depth: int = 50) -> DataFrame:
-    """Every node upstream of the start nodes with its shortest distance.
-
-    One equi-join per level. Each level is cut into the shared folder, so neither the plan nor the
-    recovery work after a lost executor grows with depth. A graph deeper than ``max_depth`` is an
-    error and not a shorter answer.
+    pairs = moves.select("step", F.explode("reads").alias("src"), "writes")
+    written = pairs.select("step", F.explode("writes").alias("dst")).filter(F.col("dst").isin(*targets))
+    of_step = written.groupBy("step").agg(F.collect_set("dst").alias("asked"))
+    flat = pairs.select("step", "src").distinct().join(of_step, "step").select(
+        "src", F.explode("asked").alias("dst")
+    )
+    return flat.distinct().subtract(edges(moves).select("src", "dst"))
+
+
+def ancestors(links: DataFrame, start: DataFrame) -> DataFrame:
+    """Every node upstream of the start nodes with its shortest distance, however deep.
+
+    One equi-join per level; a node is visited once, so cycles end. Each level is cut into the shared
+    folder, so neither the plan nor the recovery work after a lost executor grows with depth. The
+    edges are dealt out by target once, so that each level moves its frontier alone.
     """
-    up = cut(links.select("src", "dst").distinct())
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    up = cut(links.select("src", "dst").distinct().repartition(parts, "dst"))
     seen = cut(start.select("node").distinct().withColumn("depth", F.lit(0)))
-    frontier = seen
-    for depth in range(1, max_depth + 1):
+    frontier, depth = seen, 0
+    while True:
+        depth += 1
         reached = (
             up.join(frontier.select(F.col("node").alias("dst")), "dst")
             .select(F.col("src").alias("node"))
@@ -75,7 +77,6 @@ def ancestors(links: DataFrame, start: DataFrame, max_depth: int = 50) -> DataFr
         seen = seen.unionByName(frontier)
         if depth % 5 == 0:
             seen = cut(seen)
-    raise RuntimeError(f"lineage is deeper than {max_depth} levels")
 
 
 def orphans(sources: DataFrame, links: DataFrame) -> DataFrame:

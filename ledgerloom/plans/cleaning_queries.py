@@ -53,9 +53,7 @@ def malformed_quarantine(t: Tables) -> DataFrame:
     judged = clean.quarantine(
         fixtures.store_order_events(t), {"quantity": ("quantity_text", "bigint")}
     )
-    kept = ["order_key", "line_no", "part_key", "quantity"]
-    good = clean.good_rows(judged).select(*kept, F.lit(None).cast("string").alias("bad_reason"))
-    return good.unionByName(clean.bad_rows(judged).select(*kept, "bad_reason"))
+    return judged.select("order_key", "line_no", "part_key", "quantity", "bad_reason")
 
 
 @query(
@@ -74,6 +72,22 @@ def keep_flagged_rows(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "flt_02_orphan_lines",
+    f"""
+SELECT o_orderkey IS NULL AS is_orphan_order, count(*) AS n_lines,
+       CAST(sum({sql.AMOUNT}) AS DECIMAL(38,4)) AS amount
+FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 50 <> 3) o ON l_orderkey = o_orderkey
+GROUP BY ALL""",
+)
+def orphan_lines(t: Tables) -> DataFrame:
+    """Store lines against a delivery that misses some orders: they stay, marked."""
+    orders = t.orders.filter("o_orderkey % 50 <> 3")
+    return fixtures.store_sales(t, orders=orders).groupBy("is_orphan_order").agg(
+        F.count("*").alias("n_lines"), F.sum("amount").cast(money.TOTAL).alias("amount")
+    )
+
+
 @query(
     "flt_02_missing_email_flag",
     sql.using(sql.STORE_CUSTOMERS)
@@ -219,9 +233,8 @@ def carry_forward(t: Tables) -> DataFrame:
 
 @query("scl_15_cdc_unwrap", sql.using(sql.CHANGES) + "SELECT * FROM changes")
 def cdc_unwrap(t: Tables) -> DataFrame:
-    """Envelopes to JSON text and back to flat rows."""
-    envelope = row_json(*schemas.CHANGE_ENVELOPE.names)
-    return cdc.unwrap(cdc.read_envelopes(fixtures.change_envelopes(t).select(envelope.alias("value"))))
+    """Topic records, plain and wrapped, to flat rows; broken ones and tombstones stay apart."""
+    return cdc.unwrap(cdc.read_envelopes(fixtures.change_records(t)))
 
 
 # --- scalar functions ---------------------------------------------------------------------------

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom import fixtures
 from ledgerloom.fixtures import Tables
 from ledgerloom.operators import fx, geography, identity, star
+from ledgerloom.schemas import CHANNELS
+from ledgerloom.session import new_folder
+from ledgerloom.sources import landing, sinks
 
 
 def sale_lines(t: Tables) -> DataFrame:
@@ -53,11 +56,32 @@ def dim_country(t: Tables) -> DataFrame:
     return geography.dim_country(fixtures.country_aliases(t))
 
 
-def star_tables(t: Tables) -> dict[str, DataFrame]:
-    """The four tables of the reporting model by their model names."""
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """A table of a build: written once to the shared folder, then read from there."""
+    folder = sinks.write_table(frame, new_folder(frame.sparkSession, name))
+    return landing.read_master(frame.sparkSession, folder, frame.schema)
+
+
+def written_lines(t: Tables) -> DataFrame:
+    """The enriched sale lines of a build; the fact join runs once, whatever reads them."""
+    return written(enriched(t), "lines")
+
+
+def facts(lines: DataFrame) -> dict[str, DataFrame]:
+    """Both facts from the written lines."""
+    channels = [lines.filter(F.col("channel") == c) for c in CHANNELS]
+    return {
+        "Revenue": written(star.daily_revenue(*channels), "daily"),
+        "Reporting": written(star.revenue_summary(lines), "summary"),
+    }
+
+
+def star_tables(t: Tables, lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four tables of the reporting model by their model names, as written by one build."""
+    built = facts(written_lines(t) if lines is None else lines)
     return {
-        "Revenue": daily(t),
-        "Customer": dim_customer(t),
-        "Country": dim_country(t),
-        "Reporting": summary(t),
+        "Revenue": built["Revenue"],
+        "Customer": written(dim_customer(t), "customers"),
+        "Country": written(dim_country(t), "countries"),
+        "Reporting": built["Reporting"],
     }

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions import fiscal
+from ledgerloom.functions.money import TOTAL
 from ledgerloom.operators import contracts, measures, metadata
-from ledgerloom.plans import common, sql
+from ledgerloom.plans import audit, common, sql
 from ledgerloom.plans.registry import query
 from ledgerloom.session import cut
 
@@ -124,12 +125,14 @@ UNION ALL SELECT 'summary_conserves_revenue',
        'sale_lines ' || all_lines || ' ' || store_lines, 'broken' FROM kept""",
 )
 def summary_conserves_revenue(t: Tables) -> DataFrame:
-    """The summary keeps the lines' totals; one that lost a channel does not."""
-    lines = cut(contracts.line_totals(common.enriched(t)))
-    summary = cut(common.summary(t))
+    """The summary keeps what the raw tables hold; one that lost a channel does not."""
+    raw = common.written(
+        audit.totals(t).withColumn("sale_lines", F.col("sale_lines").cast(TOTAL)), "audit"
+    )
+    summary = common.written(common.summary(t), "summary")
     return both(
-        contracts.summary_conserves_revenue(summary, lines),
-        contracts.summary_conserves_revenue(summary.filter(F.col("channel") == "store"), lines),
+        contracts.summary_conserves_revenue(summary, raw),
+        contracts.summary_conserves_revenue(summary.filter(F.col("channel") == "store"), raw),
     )
 
 
@@ -208,29 +211,53 @@ def not_all_zero(t: Tables) -> DataFrame:
     )
 
 
-PUBLISHED = ["channels_present", "country_resolves", "fiscal_is_not_calendar", "unique"]
-
-
 @query(
     "dq_10_contract_report",
-    """
-SELECT unnest(['channels_present', 'country_resolves', 'fiscal_is_not_calendar']) AS contract,
-       'holds' AS status, CAST(0 AS BIGINT) AS violations
-UNION ALL
-SELECT 'unique', 'violated', count(*) FROM (
-  SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
+    sql.using(*sql.STAR) + """
+, found AS (
+  SELECT 'unique' AS contract, count(*) AS n FROM (
+    SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+  UNION ALL SELECT 'not_null', count(*) FROM (SELECT 1 FROM customer WHERE c_custkey % 33 = 0 LIMIT 1)
+  UNION ALL SELECT 'rate_is_known', count(*) FROM (
+    SELECT DISTINCT currency FROM enriched WHERE rate_status = 'missing')
+  UNION ALL SELECT 'no_orphan_lines', count(*) FROM (
+    SELECT 1 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) LIMIT 1)
+)
+SELECT contract, CASE WHEN n > 0 THEN 'violated' ELSE 'holds' END AS status,
+       coalesce(n, 0) AS violations
+FROM (SELECT unnest([""" + ", ".join(f"'{c}'" for c in schemas.PUBLISHED_CONTRACTS) + """]) AS contract)
+LEFT JOIN found USING (contract)""",
 )
 def contract_report(t: Tables) -> DataFrame:
-    days = fixtures.order_days(t)
+    """Every published contract on one build: its lines, its four tables and what it was built from."""
+    lines = common.written_lines(t)
+    tables = common.star_tables(t, lines)
+    summary, countries = tables["Reporting"], tables["Country"]
+    money = ["revenue", "revenue_usd", "cancelled_usd", "carried_rate_usd"]
+    raw = audit.totals(t).withColumn("sale_lines", F.col("sale_lines").cast(TOTAL))
+    days = fixtures.order_days(t).withColumn("label", fiscal.fiscal_year(F.col("day")))
+    stated = t.nation.agg(F.count("*").alias("n_rows")).select(F.lit("Country").alias("table_name"), "n_rows")
     found = [
-        contracts.channels_present(common.summary(t)),
-        contracts.country_resolves(common.daily(t), common.dim_country(t)),
-        contracts.fiscal_is_not_calendar(
-            days.withColumn("label", fiscal.fiscal_year(F.col("day"))), "day", "label"
-        ),
+        contracts.channels_present(summary),
+        contracts.country_resolves(tables["Revenue"].filter(F.col("country") != schemas.UNKNOWN), countries),
+        contracts.fiscal_is_not_calendar(days, "day", "label"),
+        contracts.money_is_decimal(metadata.catalogue(t.spark, tables), money),
+        contracts.summary_conserves_revenue(summary, raw),
+        contracts.not_empty(tables),
+        contracts.not_all_zero(measures.grand_totals(summary)),
+        contracts.expected_counts(metadata.row_counts({"Country": countries}), stated),
         contracts.unique(t.lineitem, ["l_orderkey", "l_linenumber"]),
+        contracts.unique(countries, ["country"]), contracts.unique(tables["Customer"], ["customer_id"]),
+        contracts.unique(tables["Revenue"], ["order_date", "country"]),
+        contracts.not_null(fixtures.store_customers(t), "email"),
+        contracts.not_null(countries, "country"), contracts.not_null(tables["Customer"], "customer_id"),
+        contracts.accepted_values(summary, "channel", schemas.CHANNELS),
+        contracts.relationship(
+            tables["Customer"].filter(F.col("country") != schemas.UNKNOWN), "country", countries, "country"),
+        contracts.no_orphan_lines(lines),
+        contracts.rate_is_known(lines),
     ]
-    return contracts.report(PUBLISHED, reduce(DataFrame.unionByName, found))
+    return contracts.report(schemas.PUBLISHED_CONTRACTS, reduce(DataFrame.unionByName, found))
 
 
 @query(
@@ -262,7 +289,7 @@ UNION ALL SELECT 'Revenue', 5, (SELECT count(*) FROM daily),
 )
 def group_to_list(t: Tables) -> DataFrame:
     """Column list of the two facts beside their sizes."""
-    facts = {"Revenue": common.daily(t), "Reporting": common.summary(t)}
+    facts = common.facts(common.written_lines(t))
     listed = metadata.columns_per_table(metadata.catalogue(t.spark, facts)).drop("schema_name")
     return listed.join(metadata.row_counts(facts), "table_name")
 
@@ -274,7 +301,7 @@ def group_to_list(t: Tables) -> DataFrame:
 )
 def catalogue_covers_axes(t: Tables) -> DataFrame:
     """Every axis is in the catalogue; one that was never built is reported."""
-    built = {"Reporting": common.summary(t)}
+    built = {"Reporting": common.written(common.summary(t), "summary")}
     columns = metadata.catalogue(t.spark, built)
     wanted = [*schemas.SUMMARY_AXES, "sales_person"]
     missing = metadata.uncovered_axes(columns, "Reporting", wanted)

@@ -15,13 +15,17 @@ from ledgerloom.session import new_folder
 from ledgerloom.sources import landing, lines, sinks
 from ledgerloom.streaming import batchlog, cdc_stream, delivery, observer_stream
 
-FILE_ROWS = 500
+# Sizes of landed files: rows, or whole orders, so that their number follows the data.
+LANDED_ROWS, PAGE_ORDERS, FILE_ROWS, FEWEST_FILES = 500_000, 1_000, 1_000_000, 8
 
 
 @query(
     "src_01_csv_landing",
-    sql.using(sql.STORE_CUSTOMERS)
-    + "SELECT cust_id, name, email, country_text, segment, balance FROM store_customers",
+    sql.using(sql.STORE_CUSTOMERS) + """
+SELECT cust_id, name, email, country_text, segment, balance, NULL::VARCHAR AS corrupt
+FROM store_customers
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'cut off at ' || cust_id
+FROM store_customers WHERE cust_id % 40 = 7""",
 )
 def csv_landing(t: Tables) -> DataFrame:
     folder = new_folder(t.spark, "csv")
@@ -31,12 +35,14 @@ def csv_landing(t: Tables) -> DataFrame:
     }
     wide = fixtures.store_customers(t).withColumns(fillers)
     (
-        wide.repartition(21).write.option("header", True)
+        wide.write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
     )
+    cut_off = F.concat(F.lit("cut off at "), F.col("cust_id").cast("string")).alias("cust_id")
+    wide.filter("cust_id % 40 = 7").select(cut_off).write.mode("append").option("header", True).csv(folder)
     return landing.read_csv(t.spark, folder, schemas.STORE_CUSTOMER).select(
-        *schemas.STORE_CUSTOMER_CORE.names
+        *schemas.STORE_CUSTOMER_CORE.names, F.col(landing.CORRUPT).alias("corrupt")
     )
 
 
@@ -47,31 +53,49 @@ SELECT l_orderkey AS order_key, l_linenumber AS line_no, l_partkey AS part_key,
        l_suppkey AS supp_key,
        CASE WHEN l_orderkey % 50 = 7 THEN 'N/A'
             ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity_text,
-       CAST(l_extendedprice AS DECIMAL(19,4)) AS price, l_discount AS discount
-FROM lineitem""",
+       CAST(l_extendedprice AS DECIMAL(19,4)) AS price, l_discount AS discount,
+       CASE WHEN l_orderkey % 50 = 7 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS quantity,
+       CASE WHEN l_orderkey % 50 = 7 THEN 'quantity_text is not bigint' END AS bad_reason,
+       NULL::VARCHAR AS corrupt
+FROM lineitem WHERE l_orderkey % 200 <> 13
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'row is corrupt',
+       '{"order_key":' || l_orderkey || ',"line'
+FROM lineitem WHERE l_orderkey % 200 = 13""",
 )
 def jsonl_landing(t: Tables) -> DataFrame:
+    """Order events land as lines, some cut off, and are judged: nothing that arrived is left out."""
     folder = new_folder(t.spark, "jsonl")
-    fixtures.store_order_events(t).write.json(folder)
-    return landing.read_json_lines(t.spark, folder, schemas.STORE_ORDER_EVENT).select(
-        *schemas.STORE_ORDER_EVENT.names
-    )
+    cut_off = F.concat(F.lit('{"order_key":'), F.col("order_key").cast("string"), F.lit(',"line'))
+    line = row_json(*schemas.STORE_ORDER_EVENT.names)
+    fixtures.store_order_events(t).select(
+        F.when(F.col("order_key") % 200 == 13, cut_off).otherwise(line).alias("value")
+    ).write.text(folder)
+    landed = landing.read_json_lines(t.spark, folder, schemas.STORE_ORDER_EVENT)
+    return clean.quarantine(
+        landed, {"quantity": ("quantity_text", "bigint")}, landing.CORRUPT
+    ).withColumnRenamed(landing.CORRUPT, "corrupt")
 
 
 def landed_web_orders(t: Tables) -> DataFrame:
     """Web orders landed as one JSON array per page and read back with their nesting."""
     folder = new_folder(t.spark, "nested")
     orders = fixtures.web_orders_nested(t)
-    pages = orders.groupBy("part").agg(
+    # Whole orders, about a thousand to a page, so the number of pages follows the orders.
+    count = orders.count() // PAGE_ORDERS + 1
+    page = F.pmod(F.xxhash64("user_id", "placed_on"), F.lit(count)).alias("page")
+    pages = orders.groupBy(page).agg(
         F.to_json(F.collect_list(F.struct(*schemas.WEB_ORDER.names))).alias("value")
     )
-    pages.withColumnRenamed("part", "page").write.partitionBy("page").text(folder)
+    pages.select("value", "page").write.partitionBy("page").text(folder)
+    broken = t.events.filter("event_id = 0").select(F.concat(F.lit('[{"user_id": '), "event_id").alias("value"))
+    broken.write.text(f"{folder}/page=broken")
     return landing.read_json_arrays(t.spark, f"{folder}/*", schemas.WEB_ORDER)
 
 
 NESTED_SQL = sql.using(sql.WEB_LINES) + """
-SELECT user_id, CAST(ts AS DATE) AS placed_on, event_id // 10000 AS part,
-       CAST(row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE), event_id // 10000
+SELECT user_id, CAST(ts AS DATE) AS placed_on,
+       CAST(row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
                                ORDER BY event_id) - 1 AS INTEGER) AS line_pos,
        event_id,
        CASE WHEN event_id % 20 IN (1, 2, 3)
@@ -84,23 +108,25 @@ FROM web_lines"""
 @query(
     "src_03_nested_json_landing",
     sql.using(sql.WEB_LINES) + """
-SELECT user_id, CAST(ts AS DATE) AS placed_on, event_id // 10000 AS part, count(*) AS n_lines,
-       CAST(sum(amount) AS DECIMAL(38,4)) AS amount
-FROM web_lines GROUP BY ALL""",
+SELECT user_id, CAST(ts AS DATE) AS placed_on, count(*) AS n_lines,
+       CAST(sum(amount) AS DECIMAL(38,4)) AS amount, NULL::VARCHAR AS corrupt
+FROM web_lines GROUP BY user_id, CAST(ts AS DATE)
+UNION ALL SELECT NULL, NULL, NULL, NULL, '[{"user_id": ' || event_id || chr(10) FROM events WHERE event_id = 0""",
 )
 def nested_json_landing(t: Tables) -> DataFrame:
     amount = F.aggregate(
         "lines", F.lit(0).cast(TOTAL), lambda acc, line: (acc + line["amount"]).cast(TOTAL)
     )
     return landed_web_orders(t).select(
-        "user_id", "placed_on", "part", F.size("lines").cast("bigint").alias("n_lines"),
-        amount.alias("amount"),
+        "user_id", "placed_on", F.size("lines").cast("bigint").alias("n_lines"),
+        amount.alias("amount"), F.col(landing.CORRUPT).alias("corrupt"),
     )
 
 
 @query("scl_14_explode_lines", NESTED_SQL)
 def explode_lines(t: Tables) -> DataFrame:
-    return landing.explode_lines(landed_web_orders(t))
+    whole = landed_web_orders(t).filter(F.col(landing.CORRUPT).isNull()).drop(landing.CORRUPT)
+    return landing.explode_lines(whole)
 
 
 @query(
@@ -130,25 +156,30 @@ def _write_files(rows: DataFrame, folder: str) -> None:
 
 def _master_files(t: Tables) -> tuple[str, str]:
     """A served and a delivered folder; every fifth delivered file has an altered line."""
+    keys = t.part.agg(F.count("*").alias("n"), (F.max("p_partkey") + 1).alias("top")).first()
+    files = max(FEWEST_FILES, -(-keys["n"] // FILE_ROWS))
     part = t.part.select(
-        (F.col("p_partkey") / FILE_ROWS).cast("bigint").alias("file_no"),
+        F.expr(f"p_partkey * {files} DIV {keys['top']}").alias("file_no"),
         "p_partkey",
         F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name", "p_brand").alias("value"),
     )
     served, delivered = new_folder(t.spark, "served"), new_folder(t.spark, "delivered")
     _write_files(part, served)
-    hit = (F.col("file_no") % 5 == 1) & (F.col("p_partkey") % FILE_ROWS == 0)
+    hit = (F.col("file_no") % 5 == 1) & (F.col("p_partkey") % 50 == 0)
     altered = F.when(hit, F.concat("value", F.lit("!"))).otherwise(F.col("value"))
     _write_files(part.withColumn("value", altered), delivered)
     return served, delivered
 
 
 FILES_SQL = f"""
-WITH lines AS (
-  SELECT p_partkey // {FILE_ROWS} AS file_no, p_partkey,
-         p_partkey || '|' || p_name || '|' || p_brand AS line FROM part
+WITH size AS (
+  SELECT greatest({FEWEST_FILES}, CAST(ceil(count(*) / {FILE_ROWS}.0) AS BIGINT)) AS files,
+         max(p_partkey) + 1 AS top FROM part
+), lines AS (
+  SELECT p_partkey * files // top AS file_no, p_partkey,
+         p_partkey || '|' || p_name || '|' || p_brand AS line FROM part, size
 ), altered AS (
-  SELECT *, line || CASE WHEN file_no % 5 = 1 AND p_partkey % {FILE_ROWS} = 0 THEN '!' ELSE '' END
+  SELECT *, line || CASE WHEN file_no % 5 = 1 AND p_partkey % 50 = 0 THEN '!' ELSE '' END
          AS sent FROM lines
 ), files AS (
   SELECT CAST(file_no AS VARCHAR) AS name,
@@ -193,31 +224,58 @@ def landing_byte_identity(t: Tables) -> DataFrame:
     return verdicts.select("name", "sha256", "published_sha256", "verdict")
 
 
-def landed_changes(t: Tables, files: int = 4) -> str:
-    """The change log as envelope JSON, in files of ascending log ranges."""
+def landed_changes(t: Tables) -> str:
+    """The change log as topic records, in files of ascending offsets and bounded size."""
     folder = new_folder(t.spark, "changes")
     (
-        fixtures.change_envelopes(t)
-        .repartitionByRange(files, "lsn")
-        .select(row_json(*schemas.CHANGE_ENVELOPE.names).alias("value"))
-        .write.text(folder)
+        fixtures.change_records(t)
+        .repartitionByRange("topic_offset").sortWithinPartitions("topic_offset")
+        .select(F.to_json(F.struct(*schemas.CHANGE_RECORD.names)).alias("value"))
+        .write.option("maxRecordsPerFile", LANDED_ROWS).text(folder)
     )
     return folder
 
 
-@query("src_07_cdc_stream_source", sql.using(sql.CHANGES) + "SELECT * FROM changes")
+ORIGIN_SQL = """origin AS (
+  SELECT event_id AS lsn, 'erp.shopper' AS topic, CAST(user_id % 4 AS INTEGER) AS topic_partition,
+         2 * event_id AS topic_offset FROM events
+)"""
+
+
+@query(
+    "src_07_cdc_stream_source",
+    sql.using(sql.CHANGES, ORIGIN_SQL) + "SELECT * FROM changes JOIN origin USING (lsn)",
+)
 def cdc_stream_source(t: Tables) -> DataFrame:
-    out, check = new_folder(t.spark, "cdc-rows"), new_folder(t.spark, "cdc-check")
-    changes = cdc_stream.change_source(t.spark, landed_changes(t), files_per_batch=2)
-    batchlog.run_available(
-        changes.writeStream.format("parquet").option("path", out), check
+    good, _ = cdc_stream.land_changes(
+        cdc_stream.envelope_source(t.spark, landed_changes(t), files_per_batch=2),
+        *[new_folder(t.spark, f"cdc-{n}") for n in ("rows", "quarantine", "check")],
     )
-    return t.spark.read.schema(cdc_stream.FLAT).parquet(out)
+    return good
 
 
-def landed_lines(t: Tables, files: int = 4) -> str:
+@query(
+    "src_07_cdc_quarantine",
+    """
+SELECT 'erp.shopper' AS topic, CAST(user_id % 4 AS INTEGER) AS topic_partition,
+       2 * event_id AS topic_offset, '{"op": "' || event_id AS value
+FROM events WHERE event_id % 40 = 7 AND user_id % 4 = 3""",
+)
+def cdc_quarantine(t: Tables) -> DataFrame:
+    """The broken records of the stream, with where they came from."""
+    _, broken = cdc_stream.land_changes(
+        cdc_stream.envelope_source(t.spark, landed_changes(t), files_per_batch=2),
+        *[new_folder(t.spark, f"cdc-{n}") for n in ("rows", "quarantine", "check")],
+    )
+    return broken
+
+
+def landed_lines(t: Tables) -> str:
     folder = new_folder(t.spark, "lines")
-    fixtures.run_event_lines(t).repartitionByRange(files, "seq").select("value").write.text(folder)
+    (
+        fixtures.run_event_lines(t).repartitionByRange("seq").select("value")
+        .write.option("maxRecordsPerFile", LANDED_ROWS).text(folder)
+    )
     return folder
 
 
@@ -253,21 +311,24 @@ def table_scan_projection(t: Tables) -> DataFrame:
 
 
 def _given(t: Tables) -> dict[str, DataFrame]:
-    return {name: getattr(t, name) for name in schemas.TABLES}
+    """The given tables with the schema that their files have."""
+    return {name: t.spark.read.parquet(f"{t.folder}/{name}.parquet") for name in schemas.TABLES}
 
 
-def _catalogue_sql() -> str:
-    parts = [
-        f"SELECT '{name}' AS table_name, CAST(i + 1 AS INTEGER) AS ordinal, c AS column_name, "
-        f"k AS type, (SELECT count(*) FROM {name}) AS n_rows FROM (SELECT unnest(range("
-        f"{len(schema)})) AS i, unnest({schema.names}) AS c, "
-        f"unnest({[f.dataType.simpleString() for f in schema]}) AS k)"
-        for name, schema in schemas.TABLES.items()
-    ]
-    return "\nUNION ALL ".join(parts)
+# DuckDB's own view of the same files, in Spark's type names.
+SEEN_COLUMNS = f"""seen AS (
+  SELECT table_name, CAST(ordinal_position AS INTEGER) AS ordinal, column_name,
+         CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+              WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS type
+  FROM information_schema.columns WHERE table_name IN {tuple(schemas.TABLES)}
+), sizes AS ({" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in schemas.TABLES)})"""
 
 
-@query("src_10_metadata_scan", _catalogue_sql())
+@query(
+    "src_10_metadata_scan",
+    sql.using(SEEN_COLUMNS)
+    + "SELECT table_name, ordinal, column_name, type, n_rows FROM seen JOIN sizes USING (table_name)",
+)
 def metadata_scan(t: Tables) -> DataFrame:
     """The catalogue in ordinal order with the size of each table (counted from file footers)."""
     given = _given(t)
@@ -330,7 +391,7 @@ def landed_deliveries(t: Tables) -> tuple[str, str]:
             ).alias("notice"),
         )
     )
-    notices.repartitionByRange(4, "notice", "value").select("value").write.text(markers)
+    notices.repartitionByRange("notice", "value").select("value").write.text(markers)
     return data, markers
 
 
@@ -400,12 +461,13 @@ def jsonl_event_log(t: Tables) -> DataFrame:
     sql.using(*sql.STAR) + f"""
 SELECT CAST({sql.total('usd', 'NOT is_cancelled')} AS VARCHAR) AS revenue_usd,
        CAST({sql.total('usd', 'is_cancelled')} AS VARCHAR) AS cancelled_usd,
-       CAST(count(*) AS VARCHAR) AS sale_lines
+       CAST(count(*) AS VARCHAR) AS sale_lines, '{",".join(sorted(schemas.PUBLISHED_CONTRACTS))}' AS contracts
 FROM enriched""",
 )
 def snapshot_write(t: Tables) -> DataFrame:
     totals = measures.grand_totals(common.summary(t))
-    texts = totals.select(*[F.col(c).cast("string").alias(c) for c in totals.columns])
+    names = F.lit(",".join(sorted(schemas.PUBLISHED_CONTRACTS))).alias("contracts")
+    texts = totals.select(*[F.col(c).cast("string").alias(c) for c in totals.columns], names)
     folder = sinks.write_snapshot(texts, new_folder(t.spark, "snapshot"))
     return t.spark.read.schema(texts.schema).json(folder)
 
@@ -422,18 +484,13 @@ def medallion_table_write(t: Tables) -> DataFrame:
     return landing.read_master(t.spark, folder, schemas.SUMMARY).select(*schemas.SUMMARY.names)
 
 
-def _column_lists_sql() -> str:
-    parts = [
-        f"SELECT '{name}' AS table_name, {len(schema)} AS n_columns, '"
-        + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema)
-        + f"' AS columns, (SELECT count(*) FROM {name}) AS n_rows"
-        for name, schema in schemas.TABLES.items()
-    ]
-    body = "\nUNION ALL ".join(parts)
-    return f"SELECT table_name, CAST(n_columns AS BIGINT) AS n_columns, columns, n_rows FROM ({body})"
-
-
-@query("snk_05_catalogue_write", _column_lists_sql())
+@query(
+    "snk_05_catalogue_write",
+    sql.using(SEEN_COLUMNS) + """
+SELECT table_name, count(*) AS n_columns,
+       string_agg(column_name || ':' || type, ',' ORDER BY ordinal) AS columns, any_value(n_rows) AS n_rows
+FROM seen JOIN sizes USING (table_name) GROUP BY table_name""",
+)
 def catalogue_write(t: Tables) -> DataFrame:
     """Column lists and sizes of the given tables, written as JSON and read back."""
     given = _given(t)

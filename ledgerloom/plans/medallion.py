@@ -59,6 +59,7 @@ class Layers:
             "cust_id", "user_id",
         )
         self.write("silver/people", people)
+        self.write("silver/quarantine", cdc.broken(self.read("bronze/changes")))
         self.write("silver/shoppers", cdc.current_state(cdc.unwrap(self.read("bronze/changes"))))
 
     def gold(self) -> None:
@@ -94,8 +95,9 @@ def gold_from_layers(t: Tables) -> DataFrame:
 SELECT 'bronze/line_items' AS table_name,
        count(*) + count(*) FILTER (WHERE l_orderkey % 34 = 0) AS n_rows FROM lineitem
 UNION ALL SELECT 'bronze/web_orders', count(*) FROM (
-  SELECT DISTINCT user_id, CAST(ts AS DATE), event_id // 10000 FROM web_lines)
-UNION ALL SELECT 'bronze/changes', count(*) FROM events
+  SELECT DISTINCT user_id, CAST(ts AS DATE) FROM web_lines)
+UNION ALL SELECT 'bronze/changes', count(*) + count(*) FILTER (WHERE event_type = 'error') FROM events
+UNION ALL SELECT 'silver/quarantine', count(*) FROM events WHERE event_id % 40 = 7 AND user_id % 4 = 3
 UNION ALL SELECT 'bronze/store_customers', count(*) FROM customer
 UNION ALL SELECT 'bronze/web_accounts', count(DISTINCT user_id) FROM events
 UNION ALL SELECT 'silver/sale_lines', count(*) FROM enriched

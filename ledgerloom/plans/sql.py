@@ -58,11 +58,11 @@ STORE_CUSTOMERS = """store_customers AS (
 )"""
 
 STORE_SALES = f"""store_sales AS (
-  SELECT 'store' AS channel, o_orderkey AS order_key, CAST(o_orderdate AS DATE) AS order_date,
+  SELECT 'store' AS channel, l_orderkey AS order_key, CAST(o_orderdate AS DATE) AS order_date,
          CAST(l_partkey % 8 AS INTEGER) AS sku, CAST(l_quantity AS BIGINT) AS units,
-         {AMOUNT} AS amount, o_orderstatus = 'P' AS is_cancelled, c_mktsegment AS segment,
+         {AMOUNT} AS amount, coalesce(o_orderstatus = 'P', FALSE) AS is_cancelled, c_mktsegment AS segment,
          'N' || c_nationkey AS country, 'CUR' || (c_nationkey % 4) AS currency
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
   LEFT JOIN customer ON o_custkey = c_custkey
 )"""
 
@@ -127,7 +127,7 @@ CHANGES = f"""changes AS (
          CASE WHEN event_type <> 'error' THEN CAST(value AS DECIMAL(19,4)) END AS value,
          CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
          CASE WHEN event_type <> 'error' THEN {K} END AS k
-  FROM events
+  FROM events WHERE NOT (event_id % 40 = 7 AND user_id % 4 = 3)
 )"""
 
 RUN_EVENTS = f"""raw_events AS (SELECT *, {K} AS k FROM events),

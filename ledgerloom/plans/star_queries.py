@@ -9,7 +9,7 @@ from ledgerloom.fixtures import Tables
 from ledgerloom.functions import fiscal
 from ledgerloom.functions.money import total, total_text, total_where
 from ledgerloom.operators import clean, compare, fx, geography, identity, measures, metadata, star
-from ledgerloom.plans import common, sql
+from ledgerloom.plans import audit, common, sql
 from ledgerloom.plans.registry import query
 
 PEOPLE = f"""store_keys AS (
@@ -144,16 +144,6 @@ def priced_lines(t: Tables) -> DataFrame:
     return star.price(common.sale_lines(t), common.rates(t))
 
 
-def quarters_from_lines(t: Tables) -> DataFrame:
-    """Quarter totals straight from the lines; the summary, its axes and labels are not involved."""
-    return priced_lines(t).groupBy(
-        fiscal.fiscal_quarter(F.col("order_date")).alias("fiscal_quarter")
-    ).agg(
-        F.expr(total_text("usd", "NOT is_cancelled")).alias("revenue_usd"),
-        F.expr(total_text("usd", "is_cancelled")).alias("cancelled_usd"),
-    )
-
-
 @query(
     "jn_08_reconcile_join",
     sql.using(*sql.STAR, QUARTERS) + """
@@ -162,12 +152,12 @@ SELECT fiscal_quarter, revenue_usd AS revenue_usd_a, cancelled_usd AS cancelled_
 FROM quarters""",
 )
 def reconcile_join(t: Tables) -> DataFrame:
-    """Quarter totals by way of the summary against those taken from the lines."""
+    """Quarter totals by way of the summary against those of the audit over the raw tables."""
     by_summary = measures.slice_by(
         common.summary(t), ["fiscal_quarter"], ["revenue_usd", "cancelled_usd"]
     )
     return compare.reconcile(
-        by_summary, quarters_from_lines(t), "fiscal_quarter", ["revenue_usd", "cancelled_usd"]
+        by_summary, audit.quarters(t), "fiscal_quarter", ["revenue_usd", "cancelled_usd"]
     )
 
 
@@ -185,19 +175,15 @@ SELECT metric, value AS value_a, value AS value_b, TRUE AS agrees FROM (
   SELECT 'revenue_usd' AS metric, CAST(revenue_usd AS VARCHAR) AS value FROM totals
   UNION ALL SELECT 'cancelled_usd', CAST(cancelled_usd AS VARCHAR) FROM totals
   UNION ALL SELECT 'sale_lines', CAST(sale_lines AS VARCHAR) FROM totals
-  UNION ALL SELECT 'refused', 'false' FROM totals)""",
+  UNION ALL SELECT 'refused', 'false' FROM totals
+  UNION ALL SELECT 'contracts', '""" + ",".join(sorted(schemas.PUBLISHED_CONTRACTS)) + """' FROM totals)""",
 )
 def snapshot_compare(t: Tables) -> DataFrame:
-    """Totals of the summary against totals of the lines, metric by metric."""
-    lines = priced_lines(t).agg(
-        total_where(~F.col("is_cancelled"), F.col("usd")).alias("revenue_usd"),
-        total_where(F.col("is_cancelled"), F.col("usd")).alias("cancelled_usd"),
-        F.count("*").alias("sale_lines"),
-    )
-    summary = measures.grand_totals(common.summary(t))
-    return compare.compare_snapshots(
-        compare.refuse_all_zero(summary), compare.refuse_all_zero(lines)
-    )
+    """Totals of the summary against the audit's, and the contract names of both, by metric."""
+    contracts = F.lit(",".join(sorted(schemas.PUBLISHED_CONTRACTS))).alias("contracts")
+    summary = compare.refuse_all_zero(measures.grand_totals(common.summary(t)))
+    raw = compare.refuse_all_zero(audit.totals(t))
+    return compare.compare_snapshots(summary.select("*", contracts), raw.select("*", contracts))
 
 
 def _drift_sql() -> str:

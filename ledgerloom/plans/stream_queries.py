@@ -9,7 +9,7 @@ from ledgerloom.fixtures import Tables
 from ledgerloom.operators import cdc
 from ledgerloom.plans import sql
 from ledgerloom.plans.cleaning_queries import LATEST_SQL
-from ledgerloom.plans.landing_queries import landed_changes, landed_deliveries, landed_lines
+from ledgerloom.plans.landing_queries import LANDED_ROWS, landed_changes, landed_deliveries, landed_lines
 from ledgerloom.plans.observer_queries import RUN_SUMMARY
 from ledgerloom.plans.registry import query
 from ledgerloom.session import new_folder
@@ -47,7 +47,7 @@ def loss_signal(t: Tables) -> DataFrame:
 @query("str_03_cdc_apply", LATEST_SQL)
 def cdc_apply(t: Tables) -> DataFrame:
     """Micro-batches applied to a state table that compacts every second batch."""
-    changes = cdc_stream.change_source(t.spark, landed_changes(t), files_per_batch=1)
+    changes = cdc_stream.envelope_source(t.spark, landed_changes(t), files_per_batch=1)
     table = cdc_stream.apply_changes(
         changes, new_folder(t.spark, "state"), new_folder(t.spark, "state-check"), compact_every=2
     )
@@ -56,50 +56,39 @@ def cdc_apply(t: Tables) -> DataFrame:
 
 @query("str_04_cdc_stateful", LATEST_SQL)
 def cdc_stateful(t: Tables) -> DataFrame:
-    changes = cdc_stream.change_source(t.spark, landed_changes(t), files_per_batch=2)
+    changes = cdc_stream.envelope_source(t.spark, landed_changes(t), files_per_batch=2)
     return cdc_stream.run_keyed_state(
         changes, new_folder(t.spark, "keyed"), new_folder(t.spark, "keyed-check")
     )
 
 
 COMPLETE_SQL = """
-SELECT CAST(event_id % 4 AS INTEGER) AS topic_partition, count(*) AS expected_events,
-       max(event_id) AS expected_last, count(*) AS events_read, max(event_id) AS last_lsn,
-       TRUE AS complete
-FROM events GROUP BY 1"""
-
-
-def stated_counts(t: Tables) -> DataFrame:
-    """What the producer states: ids are dense, so the last id alone gives every count."""
-    last = t.events.agg(F.max("event_id").alias("last"))
-    place = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("topic_partition")
-    lap = F.floor((F.col("last") - F.col("topic_partition")) / 4)
-    return last.select("last", place).select(
-        "topic_partition",
-        (lap + 1).alias("expected_events"),
-        (lap * 4 + F.col("topic_partition")).alias("expected_last"),
-    )
-
-
-def with_partition(changes: DataFrame) -> DataFrame:
-    return changes.withColumn("topic_partition", (F.col("lsn") % 4).cast("int"))
+WITH told AS (
+  SELECT CAST(user_id % 4 AS INTEGER) AS topic_partition,
+         CAST(count(*) + count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS expected_events,
+         max(2 * event_id + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS expected_last,
+         count(*) FILTER (WHERE event_id % 40 = 7 AND user_id % 4 = 3) AS broken
+  FROM events GROUP BY 1
+)
+SELECT *, expected_events AS events_read, expected_last AS last_offset, broken = 0 AS complete FROM told"""
 
 
 @query("agg_15_completeness_count", COMPLETE_SQL)
 def completeness_count(t: Tables) -> DataFrame:
-    changes = with_partition(cdc.unwrap(fixtures.change_envelopes(t)))
-    return cdc.completeness(changes, stated_counts(t))
+    return cdc.completeness(fixtures.change_envelopes(t), fixtures.change_manifest(t))
 
 
 @query("str_05_completeness_gate", COMPLETE_SQL)
 def completeness_gate(t: Tables) -> DataFrame:
-    """Stream in, count, and publish only when nothing is short."""
+    """Stream in, count by the carried partition, and publish only when nothing is short or broken."""
     out, check = new_folder(t.spark, "gated"), new_folder(t.spark, "gated-check")
-    changes = cdc_stream.change_source(t.spark, landed_changes(t), files_per_batch=2)
-    batchlog.run_available(changes.writeStream.format("parquet").option("path", out), check)
-    read = t.spark.read.schema(cdc_stream.FLAT).parquet(out)
-    report = delivery.gate(with_partition(read), stated_counts(t))
-    delivery.publish_if_complete(report, cdc.current_state(read), new_folder(t.spark, "published"))
+    envelopes = cdc_stream.envelope_source(t.spark, landed_changes(t), files_per_batch=2)
+    batchlog.run_available(envelopes.writeStream.format("parquet").option("path", out), check)
+    read = t.spark.read.schema(envelopes.schema).parquet(out)
+    report = delivery.gate(read, fixtures.change_manifest(t))
+    delivery.publish_if_complete(
+        report, cdc.current_state(cdc.unwrap(read)), new_folder(t.spark, "published")
+    )
     return report
 
 
@@ -125,20 +114,19 @@ def marker_triggered_refresh(t: Tables) -> DataFrame:
 def redelivery_stream_dedupe(t: Tables) -> DataFrame:
     """Events with a share of them delivered twice; one of each is kept.
 
-    Files may be read in any order, so the delay covers the month that the events span.
+    Copies may be any time apart and files may be read in any order: every id is remembered.
     """
     landed = new_folder(t.spark, "redelivered")
     rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value")
     again = rows.filter(F.col("event_id") % fixtures.REDELIVERED_EVERY == 0)
-    rows.unionByName(again).repartitionByRange(4, "event_id").write.parquet(landed)
+    rows.unionByName(again).repartitionByRange("event_id").write.option(
+        "maxRecordsPerFile", LANDED_ROWS
+    ).parquet(landed)
     stream = (
         t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(landed)
     )
     out, check = new_folder(t.spark, "first"), new_folder(t.spark, "first-check")
-    first = delivery.drop_redeliveries(stream, ["event_id"], "ts", "31 days")
-    late = delivery.run_redelivery_stream(first, out, check)
-    if late:
-        raise RuntimeError(f"{late} rows were later than the watermark delay")
+    delivery.run_redelivery_stream(delivery.drop_redeliveries(stream, ["event_id"]), out, check)
     kept = t.spark.read.schema(rows.schema).parquet(out)
     return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

@@ -65,7 +65,6 @@ WEB_ORDER = T.StructType(
     [
         T.StructField("user_id", T.LongType()),
         T.StructField("placed_on", T.DateType()),
-        T.StructField("part", T.LongType()),
         T.StructField(
             "lines",
             T.ArrayType(struct(event_id="long", placed_at="str", k="int", amount="money")),
@@ -76,16 +75,22 @@ WEB_ORDER = T.StructType(
 PRODUCT_MASTER = struct(part_key="long", sku="int", department="str", product_segment="str")
 
 CHANGE_ROW = struct(value="money", event_type="str", k="int")
+# The connector's envelope: the log position is nested, the instant counts microseconds.
 CHANGE_ENVELOPE = T.StructType(
     [
-        T.StructField("key", T.LongType()),
-        T.StructField("lsn", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("op", T.StringType()),
         T.StructField("before", CHANGE_ROW),
         T.StructField("after", CHANGE_ROW),
+        T.StructField("source", struct(lsn="long")),
+        T.StructField("op", T.StringType()),
+        T.StructField("ts_us", T.LongType()),
     ]
 )
+CHANGE_KEY = struct(user_id="long")
+# A topic record as landed in a file; a null value is a tombstone.
+CHANGE_RECORD = struct(
+    topic="str", topic_partition="int", topic_offset="long", key="str", value="str"
+)
+CHANGE_OPS = ["c", "r", "u", "d"]
 
 RUN_EVENT = struct(
     run="long", seq="long", kind="str", status="str", job_type="str", failure_reason="str",
@@ -115,3 +120,10 @@ STATUS_FAILED = "Failed"
 PRODUCERS_OBSERVED = ["Copy", "NotebookObserved", "Warehouse", "DirectLake"]
 PRODUCERS_CLAIMED = ["Notebook", "Reported"]
 FINDINGS_SHOWN = 60
+
+# Contracts that a build publishes, by name.
+PUBLISHED_CONTRACTS = [
+    "channels_present", "country_resolves", "fiscal_is_not_calendar", "money_is_decimal",
+    "summary_conserves_revenue", "not_empty", "not_all_zero", "expected_counts", "unique",
+    "not_null", "accepted_values", "relationship", "no_orphan_lines", "rate_is_known",
+]

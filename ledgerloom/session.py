@@ -21,13 +21,23 @@ RUNTIME_SETTINGS = {
     ),
 }
 
+PARTITION_BYTES = 128 << 20
+
 _local_folders: dict[str, str] = {}
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that somebody else built."""
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session that somebody else built.
+
+    With the size of the input, exchanges start from as many partitions as it fills at
+    ``PARTITION_BYTES`` each; adaptive execution merges what turns out small, but never splits an
+    exchange that began too narrow.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
     return spark
 
 
@@ -51,8 +61,9 @@ def local_session(cores: int | str = 8, name: str = "ledgerloom") -> SparkSessio
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A local session without the setting gets one temporary folder; a cluster session without it is
-    refused, because a folder of one machine would not survive the loss of that machine.
+    A local session without the setting gets one temporary folder; a cluster session without it, or
+    with one machine's temporary folder, is refused, because such a folder would not survive the loss
+    of that machine. (Other ``file:`` paths may be mounts that all machines share.)
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -63,6 +74,10 @@ def shared_root(spark: SparkSession) -> str:
         if app not in _local_folders:
             _local_folders[app] = tempfile.mkdtemp(prefix="ledgerloom-")
         root = _local_folders[app]
+    plain = root.removeprefix("file:")
+    own = f"{tempfile.gettempdir()}/"
+    if not context.master.startswith("local") and f"/{plain.lstrip('/')}/".startswith(own):
+        raise ValueError(f"spark.checkpoint.dir is {root}, a temporary folder of one machine")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")

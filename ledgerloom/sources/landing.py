@@ -34,8 +34,17 @@ def read_json_lines(spark: SparkSession, folder: str, schema: T.StructType) -> D
 
 
 def read_json_arrays(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """Files that hold one JSON array each. Such a file is one task: keep pages moderate."""
-    return spark.read.schema(schema).option("multiLine", True).json(folder)
+    """Files that hold one JSON array each. Such a file is one task: keep pages moderate.
+
+    A page that does not parse comes as one row with its text.
+    """
+    return (
+        spark.read.schema(_with_corrupt(schema))
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(folder)
+    )
 
 
 def read_master(

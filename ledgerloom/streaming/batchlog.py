@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-MARKS = T.StructType([T.StructField("as_of", T.LongType())])
-
-
 def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
@@ -17,6 +14,23 @@ def read_log(spark: SparkSession, folder: str, schema: T.StructType) -> DataFram
     return spark.read.schema(wide).option("basePath", folder).parquet(folder)
 
 
+def read_batches(
+    spark: SparkSession, folder: str, schema: T.StructType, batches: range
+) -> DataFrame:
+    """Some batches by their paths: no other folder is listed."""
+    wide = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
+    if not batches:
+        return spark.createDataFrame([], wide)
+    paths = [f"{folder}/batch={n}" for n in batches]
+    return spark.read.schema(wide).option("basePath", folder).parquet(*paths)
+
+
+def last_batch(spark: SparkSession, folder: str) -> int:
+    """Number of the newest batch, -1 if there is none."""
+    found = read_log(spark, folder, T.StructType([])).agg(F.max("batch")).first()[0]
+    return -1 if found is None else found
+
+
 def run_available(writer, checkpoint: str) -> None:
     """Work through everything that has arrived, then stop; failures surface here."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -11,23 +11,52 @@ from ledgerloom.streaming import batchlog
 FLAT = struct(key="long", lsn="long", ts="ntz", op="str", value="money", event_type="str", k="int")
 
 
-def change_source(
+QUARANTINED = struct(topic="str", topic_partition="int", topic_offset="long", value="str")
+FLAT_WITH_ORIGIN = T.StructType(
+    struct(topic="str", topic_partition="int", topic_offset="long").fields + FLAT.fields
+)
+
+
+def envelope_source(
     spark: SparkSession, location: str, fmt: str = "text", files_per_batch: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Flat change rows from envelope JSON.
+    """Change envelopes with their kind and origin, broken ones and tombstones included.
 
-    ``text`` follows a folder. ``kafka`` subscribes to the topic named by ``location`` where its
-    connector is deployed; its value column holds the same JSON.
+    ``text`` follows a folder of record lines. ``kafka`` subscribes to the topic named by
+    ``location`` where its connector is deployed, from its first record unless told otherwise.
     """
-    reader = spark.readStream.format(fmt).options(**(options or {}))
+    reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        lines = reader.option("subscribe", location).load().select(F.col("value").cast("string"))
+        told = {"startingOffsets": "earliest", **(options or {})}
+        records = reader.options(**told).option("subscribe", location).load().select(
+            "topic", F.col("partition").alias("topic_partition"),
+            F.col("offset").alias("topic_offset"),
+            F.col("key").cast("string"), F.col("value").cast("string"),
+        )
     else:
+        reader = reader.options(**(options or {}))
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        lines = reader.load(location)
-    return cdc.unwrap(cdc.read_envelopes(lines))
+        records = cdc.read_records(reader.load(location))
+    return cdc.read_envelopes(records)
+
+
+def land_changes(
+    envelopes: DataFrame, good: str, quarantine: str, checkpoint: str
+) -> tuple[DataFrame, DataFrame]:
+    """Stream good changes to one table and broken records to another; both are read back."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batchlog.write_batch(cdc.unwrap(batch, origin=True), batch_id, good)
+        batchlog.write_batch(cdc.broken(batch), batch_id, quarantine)
+
+    batchlog.run_available(envelopes.writeStream.foreachBatch(land), checkpoint)
+    spark = envelopes.sparkSession
+    return (
+        batchlog.read_log(spark, good, FLAT_WITH_ORIGIN).drop("batch"),
+        batchlog.read_log(spark, quarantine, QUARANTINED).drop("batch"),
+    )
 
 
 class StateTable:
@@ -37,42 +66,42 @@ class StateTable:
     not the table. Every ``compact_every`` batches the deltas fold into a new base. Deletes stay as
     tombstones with their lsn, so a late older change cannot bring a row back, and all choices are
     by lsn, so replaying a batch or receiving it out of order changes nothing. Nothing here deletes
-    files: deltas and bases older than the newest announced base may be removed by the owner.
+    files, and ``compact_every`` is fixed for the life of a table: deltas and bases older than the newest base may be removed by the owner.
     """
 
     def __init__(self, spark: SparkSession, folder: str, compact_every: int = 20):
         self.spark = spark
         self.deltas = f"{folder}/deltas"
         self.bases = f"{folder}/bases"
-        self.marks = f"{folder}/marks"
+        self.quarantine = f"{folder}/quarantine"
         self.compact_every = compact_every
 
+        self.last: int | None = None
+
     def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """Take flat changes, or envelopes, of which the broken ones go to quarantine."""
+        if "kind" in batch.columns:
+            batchlog.write_batch(cdc.broken(batch), batch_id, self.quarantine)
+            batch = cdc.unwrap(batch)
         batchlog.write_batch(cdc.newest(batch), batch_id, self.deltas)
+        self.last = max(batch_id, -1 if self.last is None else self.last)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
 
     def compact(self, batch_id: int) -> None:
-        """Write a base that covers all batches up to ``batch_id``, then announce it."""
+        """Write a base that covers all batches up to ``batch_id``."""
         upto = self.log(batch_id).drop("batch")
         cdc.newest(upto).write.mode("overwrite").parquet(f"{self.bases}/as_of={batch_id}")
-        mark = self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("as_of"))
-        mark.coalesce(1).write.mode("overwrite").parquet(f"{self.marks}/mark={batch_id}")
 
     def _base(self, before: int) -> int:
-        # Only bases of earlier batches count: theirs are announced before this batch starts.
-        if before < self.compact_every:
-            return -1
-        marks = self.spark.read.schema(batchlog.MARKS).parquet(f"{self.marks}/*")
-        latest = marks.filter(F.col("as_of") < before).agg(F.max("as_of")).first()[0]
-        return -1 if latest is None else latest
+        # Compactions happen at known batches, so the newest base of an earlier batch has a known
+        # name: no listing of what was ever written.
+        return before // self.compact_every * self.compact_every - 1
 
     def log(self, upto: int) -> DataFrame:
         """Base and later deltas, as many changes per key as there are batches since the base."""
         base = self._base(upto)
-        deltas = batchlog.read_log(self.spark, self.deltas, FLAT).filter(
-            (F.col("batch") > base) & (F.col("batch") <= upto)
-        )
+        deltas = batchlog.read_batches(self.spark, self.deltas, FLAT, range(base + 1, upto + 1))
         if base < 0:
             return deltas
         rows = self.spark.read.schema(FLAT).parquet(f"{self.bases}/as_of={base}")
@@ -80,8 +109,7 @@ class StateTable:
 
     def current(self) -> DataFrame:
         """Live rows after the last batch; tombstones are left out."""
-        last = batchlog.read_log(self.spark, self.deltas, FLAT).agg(F.max("batch")).first()[0]
-        upto = -1 if last is None else last
+        upto = batchlog.last_batch(self.spark, self.deltas) if self.last is None else self.last
         return cdc.newest(self.log(upto).drop("batch")).filter(F.col("op") != "d")
 
 
@@ -95,12 +123,12 @@ def apply_changes(
 
 
 def keyed_state(changes: DataFrame) -> DataFrame:
-    """Newest change per key in Spark's own state store.
+    """Newest change per key in Spark's own state store; of envelopes, the good ones.
 
     An aggregate and not a Python state function: it combines before the shuffle, so one hot key
     cannot fill a task, and an older lsn never replaces a newer one.
     """
-    return cdc.newest(changes)
+    return cdc.newest(cdc.unwrap(changes) if "kind" in changes.columns else changes)
 
 
 def run_keyed_state(changes: DataFrame, folder: str, checkpoint: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+from collections import Counter, defaultdict
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ledgerloom.operators import cdc
 from ledgerloom.schemas import struct
@@ -39,12 +42,13 @@ def refresh_on_marker(
 ) -> DataFrame:
     """One refresh per delivery: ``build`` runs once on the landed rows of what was announced.
 
-    The announced ids are joined to the landing table on its partition column, so only announced
-    folders are read. No id passes through the driver.
+    The announced ids are few (one per delivery of a micro-batch) and become a filter on the landing
+    table's partition column, so the scan lists and reads the announced folders alone.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        rows = landing().join(batch, "delivery_id", "left_semi")
+        ids = [row["delivery_id"] for row in batch.collect()]
+        rows = landing().filter(F.col("delivery_id").isin(ids))
         batchlog.write_batch(build(rows), batch_id, folder)
 
     batchlog.run_available(announced.writeStream.foreachBatch(refresh), checkpoint)
@@ -65,18 +69,29 @@ def publish_if_complete(report: DataFrame, table: DataFrame, folder: str) -> boo
 
 
 def drop_redeliveries(
-    rows: DataFrame, identity: Sequence[str], event_time: str, delay: str
+    rows: DataFrame, identity: Sequence[str], event_time: str | None = None,
+    delay: str | None = None,
 ) -> DataFrame:
-    """First delivery of each identity; state is kept for ``delay`` behind the newest event.
+    """First delivery of each identity.
 
-    ``delay`` must cover the longest distance between a row and its second copy. Rows later than
-    that are dropped by Spark's watermark and show in ``late_rows``.
+    Without ``delay`` every identity is remembered (on disk, in the state store), so no row is ever
+    late and no copy slips through. With it, state is kept for ``delay`` behind the newest event: it
+    must cover the longest distance between a row and its copy, and rows later than that are
+    dropped by Spark's watermark, which ``run_redelivery_stream`` counts.
     """
+    if delay is None:
+        return rows.dropDuplicates(list(identity))
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
 def run_redelivery_stream(first_rows: DataFrame, folder: str, checkpoint: str) -> int:
-    """Write the stream to Parquet; returns the number of rows the watermark dropped as late."""
+    """Write the stream to Parquet; returns the number of rows the watermark dropped as late.
+
+    Counted batch by batch over the whole run: a query's own progress list is short.
+    """
+    streams = first_rows.sparkSession.streams
+    late = LateRows()
+    streams.addListener(late)
     query = (
         first_rows.writeStream.format("parquet")
         .option("path", folder)
@@ -86,14 +101,34 @@ def run_redelivery_stream(first_rows: DataFrame, folder: str, checkpoint: str) -
     )
     try:
         query.awaitTermination()
-        return late_rows(query.recentProgress)
+        return late.of_run(str(query.runId))
     finally:
         query.stop()
+        streams.removeListener(late)
 
 
-def late_rows(progress: Sequence) -> int:
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for batch in progress
-        for operator in batch["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks dropped, by run, over every batch."""
+
+    def __init__(self):
+        self.rows: Counter[str] = Counter()
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        run = event.progress
+        self.rows[str(run.runId)] += sum(o.numRowsDroppedByWatermark for o in run.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended[str(event.runId)].set()
+
+    def of_run(self, run_id: str, seconds: float = 60) -> int:
+        """Events arrive in order and the last one ends the run; without it the count is not whole."""
+        if not self.ended[run_id].wait(seconds):
+            raise TimeoutError(f"no end of run {run_id} was told in {seconds} s")
+        return self.rows[run_id]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -53,31 +54,67 @@ def test_history_is_the_same_for_every_run_length(spark, chunk):
         == sorted(expected, key=str)
 
 
-def test_envelope_that_does_not_parse_is_kept_apart(spark):
-    lines = spark.createDataFrame(
-        [('{"key": 1, "lsn": 2, "op": "c", "after": {"value": 1.5, "k": 3}}',), ('{"key": 1, ',)],
-        "value string",
-    )
-    envelopes = cdc.read_envelopes(lines)
-    assert envelopes.filter("_broken IS NOT NULL").count() == 1
-    row = cdc.unwrap(envelopes).collect()
-    assert len(row) == 1 and (row[0]["lsn"], row[0]["k"]) == (2, 3)
+def record(offset, key, value, partition=0):
+    key = key if key is None or isinstance(key, str) else json.dumps({"user_id": key})
+    value = value if value is None or isinstance(value, str) else json.dumps(value)
+    return {"topic": "t", "topic_partition": partition, "topic_offset": offset, "key": key, "value": value}
+
+
+def envelope(lsn, op, after=None, before=None):
+    return {"before": before, "after": after, "source": {"lsn": lsn}, "op": op, "ts_us": 1_704_067_200_000_000}
+
+
+def read(spark, records):
+    lines = [(x if isinstance(x, str) else json.dumps(x),) for x in records]
+    return cdc.read_envelopes(cdc.read_records(spark.createDataFrame(lines, "value string")))
+
+
+def test_good_broken_and_tombstone_are_told_apart_and_nothing_is_lost(spark):
+    row = {"value": 1.5, "k": 3}
+    records = [
+        record(0, 1, envelope(2, "c", row)),
+        record(1, 2, {"schema": {"type": "struct"}, "payload": envelope(3, "u", row)}),
+        record(2, "7", envelope(4, "d")), record(3, 7, None),
+        record(4, 1, '{"op": '), record(5, 1, envelope(None, "u", row)), record(6, None, envelope(5, "u", row)),
+        record(7, 1, envelope(6, "x", row)), record(8, 1, envelope(7, "u")), '{"topic": "t", "top', "noise",
+    ]
+    envelopes = read(spark, records).cache()
+    kinds = {r["kind"]: r["count"] for r in envelopes.groupBy("kind").count().collect()}
+    assert kinds == {"good": 3, "tombstone": 1, "broken": 7} and sum(kinds.values()) == len(records)
+    good = sorted((r["topic_offset"], r["key"], r["lsn"], r["k"]) for r in cdc.unwrap(envelopes, origin=True).collect())
+    assert good == [(0, 1, 2, 3), (1, 2, 3, 3), (2, 7, 4, None)]
+    assert cdc.unwrap(envelopes).first()["ts"] == START
+    assert [r["key"] for r in cdc.tombstones(envelopes).collect()] == [7]
+    assert {r["value"] for r in cdc.broken(envelopes).collect()} >= {'{"op": ', "noise", '{"topic": "t", "top'}
 
 
 def test_delete_takes_the_row_before(spark):
-    line = '{"key": 1, "lsn": 2, "op": "d", "before": {"value": 1.5, "k": 3}, "after": null}'
-    frame = spark.createDataFrame([(line,)], "value string")
-    assert cdc.unwrap(cdc.read_envelopes(frame)).first()["k"] == 3
+    frame = read(spark, [record(0, 1, envelope(2, "d", before={"value": 1.5, "k": 3}))])
+    assert cdc.unwrap(frame).first()["k"] == 3
 
 
-def test_completeness_names_the_short_partition(spark):
-    seen = spark.createDataFrame([(0, 1), (0, 5), (1, 2)], "topic_partition int, lsn bigint")
+def test_completeness_names_the_short_and_the_broken_partition(spark):
+    seen = spark.createDataFrame(
+        [(0, 1, "good"), (0, 5, "tombstone"), (1, 2, "good"), (3, 1, "broken")],
+        "topic_partition int, topic_offset bigint, kind string",
+    )
     told = spark.createDataFrame(
-        [(0, 2, 5), (1, 2, 3), (2, 1, 4)],
+        [(0, 2, 5), (1, 2, 3), (2, 1, 4), (3, 1, 1)],
         "topic_partition int, expected_events bigint, expected_last bigint",
     )
     got = {r["topic_partition"]: r["complete"] for r in cdc.completeness(seen, told).collect()}
-    assert got == {0: True, 1: False, 2: False}
+    assert got == {0: True, 1: False, 2: False, 3: False}
+
+
+def test_stream_lands_broken_records_in_quarantine(spark):
+    landed = new_folder(spark, "t-records")
+    rows = [record(n, n, envelope(n, "c", {"k": n}) if n % 3 else "{cut", n % 2) for n in range(9)]
+    spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").repartition(3).write.text(landed)
+    good, bad = cdc_stream.land_changes(
+        cdc_stream.envelope_source(spark, landed, files_per_batch=1),
+        *[new_folder(spark, f"t-{n}") for n in ("good", "bad", "check")])
+    assert sorted(r["topic_offset"] for r in good.collect()) == [1, 2, 4, 5, 7, 8]
+    assert sorted((r["topic_offset"], r["value"]) for r in bad.collect()) == [(0, "{cut"), (3, "{cut"), (6, "{cut")]
 
 
 BATCHES = [
@@ -103,11 +140,8 @@ def test_state_table_ignores_replays_and_late_changes(spark, compact_every):
 
 
 def _land(spark, folder, batches, first):
-    import json
-
     for number, rows in enumerate(batches, start=first):
-        docs = [(json.dumps({"key": k, "lsn": n, "op": op, "after": {"k": n}}),)
-                for k, n, op in rows]
+        docs = [(json.dumps(record(n, k, envelope(n, op, {"k": n}))),) for k, n, op in rows]
         spark.createDataFrame(docs, "value string").coalesce(1).write.mode("append").text(folder)
 
 
@@ -117,7 +151,7 @@ def test_stream_restarts_where_it_stopped(spark, mode):
     check = new_folder(spark, "t-check")
 
     def run():
-        changes = cdc_stream.change_source(spark, landed, files_per_batch=1)
+        changes = cdc_stream.envelope_source(spark, landed, files_per_batch=1)
         if mode == "table":
             return cdc_stream.apply_changes(changes, state, check, compact_every=2).current()
         return cdc_stream.run_keyed_state(changes, state, check)

@@ -177,13 +177,14 @@ def test_edges_stay_within_their_move(spark):
 
 
 def test_phantoms(spark):
-    listed = sorted((r["src"], r["dst"]) for r in lineage.phantom_edges(moves(spark), "s").collect())
-    assert listed == [("a", "y"), ("b", "x"), ("c", "x")]
+    def listed(*targets):
+        return sorted((r["src"], r["dst"]) for r in lineage.phantom_edges(moves(spark), targets).collect())
+
+    assert listed("x", "y", "z") == [("a", "y"), ("b", "x"), ("c", "x")]
+    assert listed("x") == [("b", "x"), ("c", "x")] and listed("nowhere") == []
     counted = {(r["step"], r["dst"]): r["phantom_edges"] for r in
                lineage.phantom_counts(moves(spark)).collect()}
     assert counted == {("s", "x"): 2, ("s", "y"): 1, ("t", "z"): 0}
-    with pytest.raises(ValueError):
-        lineage.phantom_edges(moves(spark), "s", most=2)
 
 
 def test_walk_finds_shortest_distances_and_ends_on_cycles(spark):
@@ -194,13 +195,17 @@ def test_walk_finds_shortest_distances_and_ends_on_cycles(spark):
     assert got == {"c": 0, "b": 1, "a": 1}
 
 
-def test_walk_refuses_to_stop_short(spark):
-    chain = [(f"n{i + 1}", f"n{i}") for i in range(8)]
-    links = spark.createDataFrame(chain, "src string, dst string")
+def test_walk_goes_as_deep_as_the_graph(spark):
+    chain = [(f"n{i + 1}", f"n{i}") for i in range(200)]
+    links = spark.createDataFrame(chain, "src string, dst string").coalesce(1)
     start = spark.createDataFrame([("n0",)], "node string")
-    with pytest.raises(RuntimeError):
-        lineage.ancestors(links, start, max_depth=5)
-    assert lineage.ancestors(links, start, max_depth=9).count() == 9
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r["node"]: r["depth"] for r in lineage.ancestors(links, start).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert got == {f"n{i}": i for i in range(201)}
 
 
 def test_orphans_and_foreign_roots(spark):
@@ -208,3 +213,34 @@ def test_orphans_and_foreign_roots(spark):
     sources = spark.createDataFrame([("a",), ("b",), ("lost",)], "node string")
     assert [r["node"] for r in lineage.orphans(sources, links).collect()] == ["lost"]
     assert [r["node"] for r in lineage.foreign_roots(sources, links).collect()] == ["c"]
+
+
+@pytest.mark.parametrize("fault", ["rate", "lines"])
+def test_a_fault_of_the_star_alone_does_not_agree(spark, small_folder, monkeypatch, fault):
+    """The audit shares nothing with the star, so a wrong rate or a lost line shows."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom import fixtures
+    from ledgerloom.operators import fx
+    from ledgerloom.plans.catalog import QUERIES
+
+    if fault == "rate":
+        right = fx.to_usd
+        monkeypatch.setattr(fx, "to_usd", lambda lines: right(lines.withColumn("rate", F.expr("rate + 1"))))
+    else:
+        whole = fixtures.store_sales
+        monkeypatch.setattr(fixtures, "store_sales", lambda t, *a, **k: whole(t, *a, **k).filter("order_key % 9 <> 4"))
+    assert QUERIES["jn_08_reconcile_join"](spark, small_folder).filter("NOT agrees").count() > 0
+    assert QUERIES["jn_09_snapshot_compare"](spark, small_folder).filter("NOT agrees").count() > 0
+    found = QUERIES["dq_05_summary_conserves_revenue"](spark, small_folder)
+    assert found.filter("frame = 'built'").count() > 0
+
+
+def test_orphan_lines_and_missing_rates_are_told(spark):
+    lines = spark.createDataFrame(
+        [(True, "missing", None), (False, "missing", "CUR1"), (False, "quoted", "CUR1"), (True, "quoted", "CUR2")],
+        "is_orphan_order boolean, rate_status string, currency string")
+    assert [r["detail"] for r in contracts.no_orphan_lines(lines).collect()] == ["lines 2"]
+    assert sorted(r["detail"] for r in contracts.rate_is_known(lines).collect()) == ["CUR1 1", "none 1"]
+    good = lines.filter("NOT is_orphan_order AND rate_status = 'quoted'")
+    assert contracts.no_orphan_lines(good).count() == 0 and contracts.rate_is_known(good).count() == 0

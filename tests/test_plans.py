@@ -11,6 +11,7 @@ from ledgerloom import fixtures
 from ledgerloom.operators import cdc, clean, fx
 from ledgerloom.plans import common
 from ledgerloom.plans.catalog import QUERIES
+from ledgerloom.session import cut
 
 PLANNED = [
     "agg_01_store_quarter_totals", "agg_03_daily_revenue", "agg_04_revenue_summary",
@@ -49,7 +50,7 @@ def test_filters_reach_the_scan(tables):
 def test_the_two_facts_join_by_shuffle(tables):
     text = plan(fixtures.store_sales(tables), "simple")
     merge = text[text.index("SortMergeJoin [order_key"):]
-    assert "Inner" in merge.splitlines()[0]
+    assert "LeftOuter" in merge.splitlines()[0]
 
 
 def test_large_calendar_is_not_broadcast(spark, tables):
@@ -63,6 +64,29 @@ def test_large_calendar_is_not_broadcast(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_announced_deliveries_alone_are_read(spark, tmp_path):
+    """The filter that a refresh makes of the announced ids prunes the landing table's folders."""
+    folder = str(tmp_path / "landed")
+    spark.range(40).selectExpr("id", "CAST(id % 8 AS STRING) AS delivery_id").write.partitionBy(
+        "delivery_id").parquet(folder)
+    landed = spark.read.schema("id bigint, delivery_id string").parquet(folder)
+    text = plan(landed.filter(landed.delivery_id.isin(["3", "5"])))
+    assert "PartitionFilters: [delivery_id" in text.replace("isnotnull(", "") and "INSET" in text.upper() or " IN (3,5)" in text
+
+
+def test_a_level_of_the_walk_moves_its_frontier_alone(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    links = spark.range(500).selectExpr("concat('s', id) AS src", "concat('d', id % 50) AS dst")
+    up = cut(links.select("src", "dst").distinct().repartition(parts, "dst"))
+    frontier = cut(spark.range(300).selectExpr("concat('d', id) AS dst"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(up.join(frontier, "dst"), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 1
+
+
 def test_latest_rows_combine_before_the_shuffle(tables):
     """A hot key must not travel row by row: a partial aggregate sits below the exchange."""
     for frame in (

@@ -126,6 +126,39 @@ def test_late_first_rows_are_counted(spark):
     assert late > 0
 
 
+def test_late_rows_of_every_batch_are_counted(spark):
+    """More batches than a query keeps progress of; the late rows come early on."""
+    landed, out, check = (new_folder(spark, n) for n in ("t-many", "t-many-out", "t-many-check"))
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(0, start + dt.timedelta(days=9))] + [(i, start) for i in range(1, 6)]
+    rows += [(i, start + dt.timedelta(days=9, minutes=i)) for i in range(6, 110)]
+    for row in rows[:6]:
+        spark.createDataFrame([row], "id int, ts timestamp").coalesce(1).write.mode("append").parquet(landed)
+    spark.createDataFrame(rows[6:], "id int, ts timestamp").coalesce(1).write.mode("append").option(
+        "maxRecordsPerFile", 1).parquet(landed)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = spark.readStream.schema("id int, ts timestamp").option("maxFilesPerTrigger", 1).parquet(landed)
+        late = delivery.run_redelivery_stream(
+            delivery.drop_redeliveries(stream, ["id"], "ts", "1 hour"), out, check)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    kept = spark.read.parquet(out).count()
+    assert late >= 4 and kept + late == len(rows)
+
+
+def test_without_a_delay_no_copy_is_too_far_apart(spark):
+    landed, out, check = (new_folder(spark, n) for n in ("t-far", "t-far-out", "t-far-check"))
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    for day in (400, 0, 900, 400):
+        row = [(1, start + dt.timedelta(days=day))]
+        spark.createDataFrame(row, "id int, ts timestamp").coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema("id int, ts timestamp").option("maxFilesPerTrigger", 1).parquet(landed)
+    assert delivery.run_redelivery_stream(delivery.drop_redeliveries(stream, ["id"]), out, check) == 0
+    assert spark.read.parquet(out).count() == 1
+
+
 def test_gate_stays_shut_on_a_short_stream(spark):
     report = spark.createDataFrame([(0, True), (1, False)], "p int, complete boolean")
     folder = new_folder(spark, "t-gate")
@@ -176,6 +209,23 @@ def test_shared_folder_comes_from_the_session():
     assert session.new_folder(fake, "t").startswith("hdfs://shared/cp/app-1/t-")
 
 
+def test_a_temporary_folder_of_one_machine_is_refused_on_a_cluster():
+    for folder in ("file:///tmp/x", "file:/tmp/x", "/tmp"):
+        with pytest.raises(ValueError):
+            session.shared_root(FakeSession("spark://x", folder))
+        assert session.shared_root(FakeSession("local[2]", folder)) == folder.rstrip("/")
+    assert session.shared_root(FakeSession("spark://x", "file:/mnt/shared")) == "file:/mnt/shared"
+
+
+def test_exchanges_start_as_wide_as_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        session.tune(spark, 10 << 40)
+        assert spark.conf.get(key) == str((10 << 40) // session.PARTITION_BYTES)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError):
         session.shared_root(FakeSession("spark://x", None))
