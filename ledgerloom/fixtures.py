@@ -107,15 +107,19 @@ def web_accounts(t: Tables) -> DataFrame:
     )
 
 
-def conformed_customers(t: Tables) -> DataFrame:
+def conform_customers(customers: DataFrame, aliases: DataFrame) -> DataFrame:
     """Store customers with their country folded to its code; currency follows the country."""
-    folded = geography.conform_country(store_customers(t), country_aliases(t), "country_text")
+    folded = geography.conform_country(customers, aliases, "country_text")
     number = "try_cast(regexp_extract(country, '([0-9]+)$', 1) AS INT)"
     return folded.selectExpr(
         "cust_id", "name", "email", "segment", "country", f"concat('CUR', {number} % 4) AS currency"
     )
 
 
+def conformed_customers(t: Tables) -> DataFrame:
+    return conform_customers(store_customers(t), country_aliases(t))
+
+
 LINE_SHAPE = [
     "channel", "order_key", "order_date", "cust_id", "sku", "units", "amount", "is_cancelled",
     "segment", "country", "currency", "is_orphan_order",
@@ -123,16 +127,19 @@ LINE_SHAPE = [
 
 
 def store_sales(
-    t: Tables, lineitem: DataFrame | None = None, orders: DataFrame | None = None
+    t: Tables | None, lineitem: DataFrame | None = None, orders: DataFrame | None = None,
+    customers: DataFrame | None = None,
 ) -> DataFrame:
-    """Store sale lines in the shared line shape, from the given or other line items and orders.
+    """Store sale lines in the shared line shape; what isn't handed in comes from the given tables.
 
     A line whose order is not there stays, with ``is_orphan_order`` set and no day or buyer.
     Orders meet customers first, so the line items, by far the widest side, shuffle once and as raw
     columns; amounts are computed behind the join. The two facts are joined by shuffle whatever
     their size: neither is ever sent whole to every executor.
     """
-    buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
+    buyers = (conformed_customers(t) if customers is None else customers).select(
+        "cust_id", "segment", "country", "currency"
+    )
     orders = (t.orders if orders is None else orders).selectExpr(
         "o_orderkey AS order_key", "o_custkey AS cust_id", "TRUE AS has_order",
         "CAST(o_orderdate AS DATE) AS order_date", "o_orderstatus = 'P' AS is_cancelled",
@@ -152,9 +159,13 @@ def store_sales(
     ).select(*LINE_SHAPE)
 
 
-def web_sales(t: Tables, purchases: DataFrame | None = None) -> DataFrame:
+def web_sales(
+    t: Tables | None, purchases: DataFrame | None = None, customers: DataFrame | None = None
+) -> DataFrame:
     """Web sale lines in the shared line shape; SKUs 98 and 99 are in no catalogue."""
-    buyers = conformed_customers(t).select("cust_id", "segment", "country", "currency")
+    buyers = (conformed_customers(t) if customers is None else customers).select(
+        "cust_id", "segment", "country", "currency"
+    )
     return (
         (web_purchases(t) if purchases is None else purchases)
         .selectExpr(

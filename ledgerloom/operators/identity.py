@@ -63,9 +63,14 @@ def duplicate_emails(people: DataFrame) -> DataFrame:
 
 
 def dim_customer(people: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per person with name and country; web-only people are labelled unknown."""
+    """One row per person with name and country; web-only people are labelled unknown.
+
+    They have no store id and bypass the join: a missing key would gather them in one task.
+    """
     master = customers.select(F.col("cust_id").alias("store_id"), "name", "country")
-    return people.join(master, "store_id", "left").select(
+    of_store = people.filter(F.col("store_id").isNotNull()).join(master, "store_id", "left")
+    web_only = people.filter(F.col("store_id").isNull())
+    return of_store.unionByName(web_only, allowMissingColumns=True).select(
         F.col("person_id").alias("customer_id"),
         F.coalesce("name", F.lit(UNKNOWN)).alias("name"),
         F.coalesce("country", F.lit(UNKNOWN)).alias("country"),

@@ -1,7 +1,8 @@
 """The layers end to end: each is built from the tables of the layer below and from nothing else.
 
-Lines are cleaned, priced and labelled once, on the way into silver; both facts then read the silver
-table, so the large joins run a single time however many gold tables there are.
+Bronze lands every source. Silver cleans, conforms customers once, prices and labels the lines once, and
+keeps what is broken apart. Gold reads silver tables only, so the large joins run a single time however
+many gold tables there are.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions.text import utc_instant
-from ledgerloom.operators import cdc, clean, identity, metadata, star
-from ledgerloom.plans import common, sql
+from ledgerloom.operators import cdc, clean, fx, geography, identity, metadata, star
+from ledgerloom.plans import sql
 from ledgerloom.plans.registry import query
 from ledgerloom.session import new_folder
 from ledgerloom.sources import landing, sinks
@@ -24,52 +25,66 @@ class Layers:
     """Tables of one build below one folder."""
 
     def __init__(self, t: Tables, folder: str):
-        self.t = t
+        self.t: Tables | None = t
+        self.spark = t.spark
         self.folder = folder
         self.written: dict[str, DataFrame] = {}
 
     def write(self, name: str, frame: DataFrame, partition_by: str | None = None) -> None:
         path = sinks.write_table(frame, f"{self.folder}/{name}", partition_by)
-        self.written[name] = landing.read_master(self.t.spark, path, frame.schema)
+        self.written[name] = landing.read_master(self.spark, path, frame.schema)
 
     def read(self, name: str) -> DataFrame:
         return self.written[name]
 
     def bronze(self) -> None:
         """As delivered: redeliveries kept, orders nested, changes in their envelopes."""
-        self.write("bronze/line_items", fixtures.redelivered_lines(self.t))
-        self.write("bronze/web_orders", fixtures.web_orders_nested(self.t))
-        self.write("bronze/changes", fixtures.change_envelopes(self.t))
-        self.write("bronze/store_customers", fixtures.store_customers(self.t))
-        self.write("bronze/web_accounts", fixtures.web_accounts(self.t))
+        t = self.t
+        self.write("bronze/line_items", fixtures.redelivered_lines(t))
+        self.write("bronze/orders", t.orders)
+        self.write("bronze/web_orders", fixtures.web_orders_nested(t))
+        self.write("bronze/changes", fixtures.change_envelopes(t))
+        self.write("bronze/store_customers", fixtures.store_customers(t))
+        self.write("bronze/web_accounts", fixtures.web_accounts(t))
+        self.write("bronze/country_aliases", fixtures.country_aliases(t))
+        self.write("bronze/fx_quotes", fixtures.fx_quotes(t))
+        self.write("bronze/products", fixtures.product_rollup(self.spark))
 
     def silver(self) -> None:
-        t = self.t
+        """From bronze alone."""
+        self.write("silver/customers", fixtures.conform_customers(
+            self.read("bronze/store_customers"), self.read("bronze/country_aliases")))
+        self.write("silver/countries", geography.dim_country(self.read("bronze/country_aliases")))
+        customers = self.read("silver/customers")
         items = clean.latest_delivery(self.read("bronze/line_items"), LINE_ITEM, "delivery_no")
         purchases = landing.explode_lines(self.read("bronze/web_orders")).select(
             "event_id", utc_instant(F.col("placed_at")).alias("ts"), "user_id", "k", "amount"
         )
         lines = star.union_channels(
-            fixtures.store_sales(t, items), fixtures.web_sales(t, purchases)
+            fixtures.store_sales(None, items, self.read("bronze/orders"), customers),
+            fixtures.web_sales(None, purchases, customers),
         )
-        enriched = star.enrich(lines, fixtures.product_rollup(t.spark), common.rates(t))
+        rates = fx.calendar(self.read("bronze/fx_quotes"))
+        enriched = star.enrich(lines, self.read("bronze/products"), rates)
         self.write("silver/sale_lines", star.with_fiscal(enriched), partition_by="fiscal_year")
         people = identity.resolve(
             self.read("bronze/store_customers"), self.read("bronze/web_accounts"),
             "cust_id", "user_id",
         )
         self.write("silver/people", people)
-        self.write("silver/quarantine", cdc.broken(self.read("bronze/changes")))
-        self.write("silver/shoppers", cdc.current_state(cdc.unwrap(self.read("bronze/changes"))))
+        changes = self.read("bronze/changes")
+        self.write("silver/quarantine", cdc.broken(changes))
+        self.write("silver/shoppers", cdc.current_state(cdc.unwrap(changes)))
 
     def gold(self) -> None:
+        """From silver alone."""
         lines = self.read("silver/sale_lines")
         self.write("gold/revenue_summary", star.revenue_summary(lines), partition_by="fiscal_year")
         channels = [lines.filter(F.col("channel") == c) for c in schemas.CHANNELS]
         self.write("gold/daily_revenue", star.daily_revenue(*channels))
-        customers = fixtures.conformed_customers(self.t)
-        self.write("gold/dim_customer", identity.dim_customer(self.read("silver/people"), customers))
-        self.write("gold/dim_country", common.dim_country(self.t))
+        self.write("gold/dim_customer", identity.dim_customer(
+            self.read("silver/people"), self.read("silver/customers")))
+        self.write("gold/dim_country", self.read("silver/countries"))
 
 
 def build(t: Tables, folder: str) -> Layers:
@@ -94,6 +109,12 @@ def gold_from_layers(t: Tables) -> DataFrame:
     sql.using(*sql.STAR, sql.SUMMARY, sql.DAILY, sql.CHANGES) + """
 SELECT 'bronze/line_items' AS table_name,
        count(*) + count(*) FILTER (WHERE l_orderkey % 34 = 0) AS n_rows FROM lineitem
+UNION ALL SELECT 'bronze/orders', count(*) FROM orders
+UNION ALL SELECT 'bronze/country_aliases', 2 * count(*) FROM nation
+UNION ALL SELECT 'bronze/fx_quotes', count(*) FROM fx_quotes
+UNION ALL SELECT 'bronze/products', 8
+UNION ALL SELECT 'silver/customers', count(*) FROM customer
+UNION ALL SELECT 'silver/countries', count(*) FROM nation
 UNION ALL SELECT 'bronze/web_orders', count(*) FROM (
   SELECT DISTINCT user_id, CAST(ts AS DATE) FROM web_lines)
 UNION ALL SELECT 'bronze/changes', count(*) + count(*) FILTER (WHERE event_type = 'error') FROM events

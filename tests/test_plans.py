@@ -11,7 +11,8 @@ from ledgerloom import fixtures
 from ledgerloom.operators import cdc, clean, fx
 from ledgerloom.plans import common
 from ledgerloom.plans.catalog import QUERIES
-from ledgerloom.session import cut
+from ledgerloom.plans.medallion import Layers
+from ledgerloom.session import cut, new_folder
 
 PLANNED = [
     "agg_01_store_quarter_totals", "agg_03_daily_revenue", "agg_04_revenue_summary",
@@ -96,3 +97,16 @@ def test_latest_rows_combine_before_the_shuffle(tables):
     ):
         text = plan(frame, "simple")
         assert "Window" not in text and "partial_max" in text
+
+
+def test_layers_read_the_layer_below_alone(spark, tables):
+    """Without the given tables, silver and gold still build; the fact join stands in silver once."""
+    layers = Layers(tables, new_folder(spark, "t-layers"))
+    layers.bronze()
+    layers.t = None
+    layers.silver()
+    text = plan(layers.read("silver/sale_lines"), "simple")
+    assert "Join" not in text
+    layers.gold()
+    assert {n.split("/")[0] for n in layers.written} == {"bronze", "silver", "gold"}
+    assert layers.read("gold/dim_country").count() == tables.nation.count()
