@@ -120,7 +120,10 @@ def decisions(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
     log_folder = new_folder(spark, "dedup-log")
     digest_log(docs, digest).write.parquet(log_folder)
     log = spark.read.schema(LOG_SCHEMA).parquet(log_folder)
-    state = run_state(spark, log_folder, new_folder(spark, "dedup-state"), new_folder(spark, "dedup-checkpoint"))
+    # Written down, so that joins meet a plain exchange, whose hot digests adaptive execution splits.
+    state = stored(run_state(
+        spark, log_folder, new_folder(spark, "dedup-state"), new_folder(spark, "dedup-checkpoint")
+    ), "dedup-newest")
     apart = stored(verify(docs, log, state), "dedup-collisions")
     plain = log.join(state, "digest")
     if apart.take(1):
