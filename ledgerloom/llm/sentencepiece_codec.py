@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
 
@@ -31,6 +32,7 @@ __all__ = ["QUERIES", "Codec", "codec", "encode_and_decode"]
 
 MODEL = "piece_bpe_32k.model"
 REMEMBERED = 200_000
+BLOCK = 1 << 19
 BLANK = "▁"
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -240,6 +242,19 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of whole texts of about ``BLOCK`` bytes: the lists of words and the arrays stay small."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size >= BLOCK:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def encode_and_decode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """``docs`` with ``token_ids`` (packed little-endian uint32), ``n_tokens`` and ``decoded``.
 
@@ -248,8 +263,11 @@ def encode_and_decode(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def work(texts: list[bytes]) -> dict[str, list]:
         c = codec(model or public_tokenizers.path(MODEL))
-        packed = c.encode([t.decode() for t in texts])
-        return {"token_ids": packed, "n_tokens": [len(p) // 4 for p in packed], "decoded": c.decode(packed)}
+        packed, decoded = [], []
+        for block in blocks(texts):
+            packed += c.encode([t.decode() for t in block])
+            decoded += c.decode(packed[len(decoded):])
+        return {"token_ids": packed, "n_tokens": [len(p) // 4 for p in packed], "decoded": decoded}
 
     return batches_with(
         docs, "text",
