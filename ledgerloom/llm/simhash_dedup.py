@@ -279,13 +279,14 @@ def components(links: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # Written down: a join of plain exchanges is one whose hot node adaptive execution splits.
+        low = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "components-low")
         large = stored(
             both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct(),
             "components-large",
         )
         # Every pair now points from the larger node to the smaller.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         edges = stored(
             small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "components-edges"
@@ -302,8 +303,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, most: int = 4, hot: int = H
     prints = stored(log.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
     links = bucket_links(bucketed(prints.select("fp"), prints.count(), most, hot), most)
     roots = components(links).select(F.col("node").alias("fp"), "root")
-    rooted = prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stored(
+        prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")),
+        "simhash-rooted",
+    )
+    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     named = stored(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
     return log.join(named, "fp").select("doc_id", "fp", "component_id")
 
