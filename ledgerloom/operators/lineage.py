@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.observer import standing
-from ledgerloom.session import cut
+from ledgerloom.session import cut, cut_by
 
 
 def edges(moves: DataFrame) -> DataFrame:
@@ -56,8 +56,7 @@ def ancestors(links: DataFrame, start: DataFrame) -> DataFrame:
     folder, so neither the plan nor the recovery work after a lost executor grows with depth. The
     edges are dealt out by target once, so that each level moves its frontier alone.
     """
-    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    up = cut(links.select("src", "dst").distinct().repartition(parts, "dst"))
+    up = cut_by(links.select("src", "dst").distinct(), "dst")
     seen = cut(start.select("node").distinct().withColumn("depth", F.lit(0)))
     frontier, depth = seen, 0
     while True:

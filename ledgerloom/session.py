@@ -92,3 +92,18 @@ def cut(frame: DataFrame) -> DataFrame:
     """Materialise a frame in the shared folder and forget how it was computed."""
     shared_root(frame.sparkSession)
     return frame.checkpoint()
+
+
+def cut_by(frame: DataFrame, key: str) -> DataFrame:
+    """``cut``, dealt out by ``key`` for joins to come: they move the other side alone.
+
+    An adaptive plan doesn't tell its partitioning, so this one cut is planned without.
+    """
+    spark = frame.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(frame.repartition(parts, key))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

@@ -56,7 +56,7 @@ def test_quarantine_keeps_the_input_whole(spark):
     judged = clean.quarantine(rows, {"a_n": ("a", "bigint"), "b_n": ("b", "int")})
     assert clean.good_rows(judged).count() + clean.bad_rows(judged).count() == 3
     reasons = [r["bad_reason"] for r in clean.bad_rows(judged).orderBy("a").collect()]
-    assert reasons == ["a is not bigint; b is not int", "b is not int", "a is not bigint"]
+    assert reasons == ["a is missing; b is missing", "b is not int", "a is not bigint"]
 
 
 def test_latest_delivery_picks_version_then_tiebreak(spark):

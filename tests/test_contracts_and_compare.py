@@ -196,7 +196,7 @@ def test_walk_finds_shortest_distances_and_ends_on_cycles(spark):
 
 
 def test_walk_goes_as_deep_as_the_graph(spark):
-    chain = [(f"n{i + 1}", f"n{i}") for i in range(200)]
+    chain = [(f"n{i + 1}", f"n{i}") for i in range(100)]
     links = spark.createDataFrame(chain, "src string, dst string").coalesce(1)
     start = spark.createDataFrame([("n0",)], "node string")
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
@@ -205,7 +205,7 @@ def test_walk_goes_as_deep_as_the_graph(spark):
         got = {r["node"]: r["depth"] for r in lineage.ancestors(links, start).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    assert got == {f"n{i}": i for i in range(201)}
+    assert got == {f"n{i}": i for i in range(101)}
 
 
 def test_orphans_and_foreign_roots(spark):

@@ -12,7 +12,7 @@ from ledgerloom.operators import cdc, clean, fx
 from ledgerloom.plans import common
 from ledgerloom.plans.catalog import QUERIES
 from ledgerloom.plans.medallion import Layers
-from ledgerloom.session import cut, new_folder
+from ledgerloom.session import cut, cut_by, new_folder
 
 PLANNED = [
     "agg_01_store_quarter_totals", "agg_03_daily_revenue", "agg_04_revenue_summary",
@@ -76,9 +76,8 @@ def test_announced_deliveries_alone_are_read(spark, tmp_path):
 
 
 def test_a_level_of_the_walk_moves_its_frontier_alone(spark):
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = spark.range(500).selectExpr("concat('s', id) AS src", "concat('d', id % 50) AS dst")
-    up = cut(links.select("src", "dst").distinct().repartition(parts, "dst"))
+    up = cut_by(links.select("src", "dst").distinct(), "dst")
     frontier = cut(spark.range(300).selectExpr("concat('d', id) AS dst"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
