@@ -9,7 +9,7 @@ cosine is below ``SLACK`` times the first percentile of the language's own train
 with fewer than ``FULL`` different n-grams can't come as near, so its bound shrinks with their root.
 
 Whole texts are scored. Null text, and text without a letter, is ``und`` with score 0 and rejected.
-Without any training document every text is ``und``. Repeated rows and ties: same text, same answer;
+Without any training document every text is ``und``, and those with letters are not rejected. Repeated rows and ties: same text, same answer;
 of equal cosines the first language in order wins. Columns of the input that bear the name of a
 result column are replaced.
 """
@@ -98,7 +98,7 @@ class Model:
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float], list[bool]]:
         names, scores, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
         if not len(self.languages):
-            return names, scores, rejected
+            return names, scores, [counts(t) is None for t in texts]
         for at in range(0, len(texts), 256):
             found = [(i, c) for i in range(at, min(at + 256, len(texts))) if (c := counts(texts[i])) is not None]
             if not found:

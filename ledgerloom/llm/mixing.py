@@ -133,7 +133,8 @@ WITH d AS (
                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
   SELECT source, source_size,
-         coalesce(least(cap, w * (SELECT arg_min(lvl, cap / w) FROM l WHERE cap > w * lvl)), cap) AS target
+         coalesce(least(cap, w * (
+           SELECT lvl FROM l WHERE cap > w * lvl ORDER BY cap / w, source NULLS LAST LIMIT 1)), cap) AS target
   FROM l
 ), r AS (
   SELECT *, CASE WHEN target >= 3 * source_size THEN 3.0 WHEN source_size > 0 THEN target / source_size

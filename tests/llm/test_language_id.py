@@ -54,5 +54,5 @@ def test_null_rows_and_no_training_rows(spark):
     )
     model = li.fit(docs)
     got = {r.doc_id: (r.lang_pred, r.score, r.rejected) for r in li.identify(docs, model).collect()}
-    assert got == {1: ("und", 0.0, True), 2: ("und", 0.0, True), None: ("und", 0.0, True)}
+    assert got == {1: ("und", 0.0, True), 2: ("und", 0.0, True), None: ("und", 0.0, False)}
     assert li.identify(docs.limit(0), model).columns == ["doc_id", "text", "lang"] + ["lang_pred", "score", "rejected"]
