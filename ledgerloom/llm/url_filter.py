@@ -168,5 +168,6 @@ FROM c LEFT JOIN f ON c.host = f.host AND c.path = f.path LEFT JOIN n ON c.canon
 @query("op2_url_filter", SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    values = ", ".join(str(rule) for rule in RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
     return judge(pages, rules, recrawled(pages)).select("page_id", "host", "path", "rule", "verdict")
