@@ -12,6 +12,7 @@ from ledgerloom.functions import fiscal
 from ledgerloom.functions.money import TOTAL
 from ledgerloom.operators import contracts, measures, metadata
 from ledgerloom.plans import audit, common, sql
+from ledgerloom.plans.landing_queries import model_name, to_model
 from ledgerloom.plans.registry import query
 from ledgerloom.session import cut
 
@@ -381,3 +382,34 @@ def star_drift(t: Tables) -> DataFrame:
         metadata.catalogue(t.spark, declared), metadata.catalogue(t.spark, tables)
     )
     return drift.join(metadata.row_counts(tables), "table_name")
+
+
+EXPORTED_TYPE = {"date": "string", "decimal(38,4)": "double"}
+
+
+def _export_sql() -> str:
+    parts = []
+    for name, schema in STAR_SCHEMAS.items():
+        kinds = [f.dataType.simpleString() for f in schema]
+        parts.append(
+            f"SELECT '{name}' AS table_name, unnest({[model_name(c) for c in schema.names]}) AS column_name, "
+            f"unnest({kinds}) AS declared_type, unnest({[EXPORTED_TYPE.get(k, k) for k in kinds]}) AS observed_type"
+        )
+    return sql.using(*sql.STAR, sql.SUMMARY, sql.DAILY, STAR_SIZES, f"pairs AS ({' UNION ALL '.join(parts)})") + """
+SELECT table_name, column_name, declared_type, observed_type,
+       CASE WHEN declared_type = observed_type THEN 'same' ELSE 'retyped' END AS status, n_rows
+FROM pairs JOIN sizes USING (table_name)"""
+
+
+@query("m_04_export_drift", _export_sql())
+def export_drift(t: Tables) -> DataFrame:
+    """Declared schemas of the reporting model against its export, where money and days change type."""
+    tables = common.star_tables(t)
+    declared = {
+        n: t.spark.createDataFrame([], s).toDF(*map(model_name, s.names)) for n, s in STAR_SCHEMAS.items()
+    }
+    exported = {n: to_model(frame) for n, frame in tables.items()}
+    drift = metadata.drift(
+        metadata.catalogue(t.spark, declared), metadata.catalogue(t.spark, exported)
+    )
+    return drift.join(metadata.row_counts(tables), "table_name")
