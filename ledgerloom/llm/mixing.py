@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.llm.common import query, table, word_count
+from ledgerloom.llm.common import query, stored, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -72,11 +72,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS, seed: int =
         "_h1": _hex(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 1, 2),
         "_h2": _hex(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 3, 3),
     })
-    keyed = rows.select(*CELL, "source")
-    cells = keyed.groupBy(*CELL).agg(F.count("*").alias("_n"))
-    by_h1 = keyed.groupBy(*CELL[:3]).agg(F.count("*").alias("_n"))
-    by_size = keyed.groupBy(*CELL[:2]).agg(F.count("*").alias("_n"))
-    sources = keyed.groupBy("source").agg(F.sum("_size").alias("source_size"))
+    # Texts are read twice: for these counts, which all coarser ones come from, and for the result.
+    cells = stored(rows.groupBy(*CELL).agg(F.count("*").alias("_n")), "mixing-cells")
+    by_h1 = cells.groupBy(*CELL[:3]).agg(F.sum("_n").alias("_n"))
+    by_size = cells.groupBy(*CELL[:2]).agg(F.sum("_n").alias("_n"))
+    sources = cells.groupBy("_source").agg(F.sum(F.col("_size") * F.col("_n")).alias("source_size")).select(
+        F.when(F.col("_source") != "n", F.substring("_source", 2, 1 << 30)).alias("source"), "source_size"
+    )
     rate = targets(sources, weights, most).select(
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_source"),
         "source_size", "target",
