@@ -4,7 +4,8 @@ Three patterns give the base spans (``assign``, ``access``, ``hex``). The method
 or more key characters with letters and digits whose characters per token, under a public byte-pair
 vocabulary, stay below ``MOST_PER_TOKEN``. Words of any language, even invented ones, compress better. Known
 digests (hexadecimal of a digest's length), UUIDs, dates and numbers with separators, and identifiers made of
-words are excluded, and so is what overlaps a base span.
+words are excluded, and so is what overlaps a base span. A run that isn't random as a whole is looked at between
+its separators (``= / _ -``), so that neither a name nor a path around a secret hides it.
 
 Offsets are code points, end exclusive. Whole texts are scanned; null text counts as empty. A run beyond
 ``PIECE`` characters is measured piece by piece, all of it. Equal texts give equal spans. Columns of the
@@ -27,6 +28,7 @@ from ledgerloom.llm.common import batches_with, query, table
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MOST_PER_TOKEN = 1.9
 PIECE = 4096
+SHORTEST = 20
 KINDS = ["assign", "access", "hex", "random"]
 # The base patterns; the least length applies to the group.
 ASSIGN = re.compile(
@@ -44,6 +46,10 @@ _DIGEST = re.compile(r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[
 _UUID = re.compile(r"(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 # Possessive throughout: one way to match, so the time is linear.
 _STAMP = re.compile(r"[0-9]++(?:[-_/T=][0-9]++)*+Z?")
+# Inside a run: what stands between separators, words, and known things.
+_BETWEEN, _WORD = re.compile("[A-Za-z0-9+]+"), re.compile("[A-Za-z]{3,}")
+_UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])")
+_STAMP_INSIDE = re.compile(r"(?<![A-Za-z0-9])[0-9]++(?:[-_/T=][0-9]++){2,}+Z?(?![A-Za-z0-9])")
 # Words of three letters and more, joined by one separator or by case, with short numbers at their ends.
 _PART = r"(?:[A-Z]?[a-z]{3,}+|[A-Z]{3,}+)[0-9]{0,4}+"
 _IDENTIFIER = re.compile(rf"{_PART}(?:{_PART}|[-_/=](?:{_PART}|v?[0-9]{{1,4}}+))*+")
@@ -77,23 +83,65 @@ def known(run: str) -> bool:
     return any(p.fullmatch(run) for p in (_DIGEST, _UUID, _STAMP, _IDENTIFIER))
 
 
+def random(run: str, vocabulary: tiktoken.Encoding) -> bool:
+    return bool(
+        _LETTER.search(run) and _DIGIT.search(run) and not known(run) and per_token(run, vocabulary) < MOST_PER_TOKEN
+    )
+
+
+def hidden(run: str, taken: list[tuple[int, int]], vocabulary: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """Random stretches of a run that isn't random as a whole, between separators.
+
+    From each part, the fewest parts that make up ``SHORTEST`` characters are judged on their own; hits that
+    overlap are one. What begins or ends in a word, or touches ``taken``, a UUID, a date or a digest, isn't tried.
+    """
+    barred = taken + [m.span() for m in _UUID_INSIDE.finditer(run)] + [m.span() for m in _STAMP_INSIDE.finditer(run)]
+    barred.sort()
+    parts, closed, word, at = [], [], [], 0
+    for m in _BETWEEN.finditer(run):
+        while at < len(barred) and barred[at][1] <= m.start():
+            at += 1
+        parts.append(m.span())
+        closed.append(any(True for _ in _begun(barred, at, m.end(), m.start())) or bool(_DIGEST.fullmatch(m[0])))
+        word.append(bool(_WORD.fullmatch(m[0])) and per_token(m[0], vocabulary) >= MOST_PER_TOKEN)
+    found: list[tuple[int, int]] = []
+    for i, (start, _) in enumerate(parts):
+        if closed[i] or word[i]:
+            continue
+        for j in range(i, len(parts)):
+            if closed[j]:
+                break
+            end = parts[j][1]
+            if end - start >= SHORTEST:
+                if not word[j] and random(run[start:end], vocabulary):
+                    if found and start <= found[-1][1]:
+                        start = found.pop()[0]
+                    found.append((start, end))
+                break
+    return found
+
+
 def random_spans(text: str, base: list[tuple[str, int, int]], vocabulary: tiktoken.Encoding):
     taken = sorted((a, b) for _, a, b in base)
     at = 0
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        while at < len(taken) and taken[at][1] <= m.start():
+        run, start = m[0], m.start()
+        while at < len(taken) and taken[at][1] <= start:
             at += 1
         # Spans of different kinds may nest, so later ones are looked at too while they begin inside.
-        if any(a < m.end() and b > m.start() for a, b in _begun(taken, at, m.end())):
-            continue
-        if _LETTER.search(run) and _DIGIT.search(run) and not known(run) and per_token(run, vocabulary) < MOST_PER_TOKEN:
+        over = [(a - start, b - start) for a, b in _begun(taken, at, m.end(), start)]
+        if not over and random(run, vocabulary):
             yield ("random", *m.span())
+        elif over or not known(run):
+            for a, b in hidden(run, over, vocabulary):
+                yield ("random", start + a, start + b)
 
 
-def _begun(taken: list[tuple[int, int]], at: int, end: int):
+def _begun(taken: list[tuple[int, int]], at: int, end: int, start: int):
+    """Those of ``taken`` from ``at`` on that overlap ``start`` to ``end``."""
     while at < len(taken) and taken[at][0] < end:
-        yield taken[at]
+        if taken[at][1] > start:
+            yield taken[at]
         at += 1
 
 

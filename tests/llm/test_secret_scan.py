@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -58,6 +60,30 @@ def test_digests_identifiers_and_words_are_left_alone(clean, vocabulary):
     assert ss.spans(f"see {clean} there", vocabulary) == []
 
 
+@pytest.mark.parametrize("around", [
+    ("secret_access_key=", ""), ("session_identifier=", ""), ("/account/invitation/accept/", ""),
+    ("/files/0123456789abcdef/accept/", "/download/latest/version"), ("some-long-slug-of-readable-words-" * 200, ""),
+])
+@pytest.mark.parametrize("length", [20, 24, 32])
+def test_readable_surroundings_do_not_hide_a_secret(around, length, vocabulary):
+    rng = random.Random(length)
+    for _ in range(100):
+        secret = "".join(rng.choices(string.ascii_letters + string.digits, k=length - 2)) + "7q"
+        text = f"see {around[0]}{secret}{around[1]} there"
+        a = 4 + len(around[0])
+        found = [s for s in ss.spans(text, vocabulary) if s[0] == "random"]
+        assert len(found) == 1 and found[0][1] <= a and found[0][2] >= a + length, text
+
+
+@pytest.mark.parametrize("clean", [
+    "/account/invitation/internationalization/8BE90CE5-BAFB-4422-A174-89A6E16BBE8C/download/latest/version/information",
+    "/logs/2024-01-02T03-04-05-000000/some_service_name",
+    "/account/invitation/internationalization/checksum/information/support=9DD4E461268C8034F5C8564E155C67A6", "/account/invitation/accept/internationalization/v2",
+])
+def test_paths_of_known_things_are_left_alone(clean, vocabulary):
+    assert ss.spans(f"see {clean} there", vocabulary) == []
+
+
 def test_overlap_with_the_base_is_not_told_twice(vocabulary):
     text = "token: Ztjp8ORRjoZEkVBJ1PUPvjjwyWC4dVRH"
     assert ss.spans(text, vocabulary) == [("assign", 0, len(text))]
