@@ -1,10 +1,10 @@
 r"""Secret scans: fixed patterns, and strings that a tokenizer finds hard to compress.
 
 Three patterns give the base spans (``assign``, ``access``, ``hex``). The method adds ``random`` spans: runs of 20
-or more key characters with letters and digits whose characters per token, under a public byte-pair
-vocabulary, stay below ``MOST_PER_TOKEN``. Words of any language, even invented ones, compress better. Known
-digests (hexadecimal of a digest's length), UUIDs, dates and numbers with separators, and identifiers made of
-words are excluded, and so is what overlaps a base span. A run that isn't random as a whole is looked at between
+or more key characters with a letter whose characters per token, under a public byte-pair
+vocabulary, stay below ``MOST_PER_TOKEN`` (letters of one case alone: ``MOST_OF_ONE_CASE``). Words of any language, even invented ones, compress better. Known
+digests (hexadecimal of a digest's length), UUIDs, dates and numbers with separators, and identifiers whose
+words all compress are excluded, and so is what overlaps a base span. A run that isn't random as a whole is looked at between
 its separators (``= / _ -``), so that neither a name nor a path around a secret hides it.
 
 Offsets are code points, end exclusive. Whole texts are scanned; null text counts as empty. A run beyond
@@ -27,6 +27,7 @@ from ledgerloom.llm.common import batches_with, query, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MOST_PER_TOKEN = 1.9
+MOST_OF_ONE_CASE = 1.8
 PIECE = 4096
 SHORTEST = 20
 KINDS = ["assign", "access", "hex", "random"]
@@ -78,15 +79,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def known(run: str) -> bool:
-    """Digests, identifiers and numbers, which are no secrets by themselves."""
-    return any(p.fullmatch(run) for p in (_DIGEST, _UUID, _STAMP, _IDENTIFIER))
+def known(run: str, vocabulary: tiktoken.Encoding) -> bool:
+    """Digests, numbers, and identifiers whose words all compress like words: no secrets by themselves."""
+    if any(p.fullmatch(run) for p in (_DIGEST, _UUID, _STAMP)):
+        return True
+    return bool(_IDENTIFIER.fullmatch(run)) and all(
+        per_token(w, vocabulary) >= MOST_PER_TOKEN for w in _WORD.findall(run)
+    )
 
 
 def random(run: str, vocabulary: tiktoken.Encoding) -> bool:
-    return bool(
-        _LETTER.search(run) and _DIGIT.search(run) and not known(run) and per_token(run, vocabulary) < MOST_PER_TOKEN
-    )
+    if not _LETTER.search(run):
+        return False
+    # Letters of one case alone have to be harder to compress.
+    plain = not _DIGIT.search(run) and (run.islower() or run.isupper())
+    limit = MOST_OF_ONE_CASE if plain else MOST_PER_TOKEN
+    return per_token(run, vocabulary) < limit and not known(run, vocabulary)
 
 
 def hidden(run: str, taken: list[tuple[int, int]], vocabulary: tiktoken.Encoding) -> list[tuple[int, int]]:
@@ -132,7 +140,7 @@ def random_spans(text: str, base: list[tuple[str, int, int]], vocabulary: tiktok
         over = [(a - start, b - start) for a, b in _begun(taken, at, m.end(), start)]
         if not over and random(run, vocabulary):
             yield ("random", *m.span())
-        elif over or not known(run):
+        elif over or not known(run, vocabulary):
             for a, b in hidden(run, over, vocabulary):
                 yield ("random", start + a, start + b)
 

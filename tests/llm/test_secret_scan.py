@@ -75,6 +75,25 @@ def test_readable_surroundings_do_not_hide_a_secret(around, length, vocabulary):
         assert len(found) == 1 and found[0][1] <= a and found[0][2] >= a + length, text
 
 
+@pytest.mark.parametrize("alphabet, most_lost", [
+    (string.ascii_letters + string.digits, 0.01), (string.ascii_uppercase + "234567", 0.01),
+    (string.ascii_lowercase + string.digits, 0.02), (string.ascii_letters, 0.01), (string.ascii_uppercase, 0.15),
+])
+@pytest.mark.parametrize("length", [20, 24, 32])
+def test_the_ratio_decides_about_random_strings(alphabet, most_lost, length, vocabulary):
+    rng = random.Random(length)
+    lost = sum(not ss.spans("".join(rng.choices(alphabet, k=length)), vocabulary) for _ in range(500))
+    assert lost <= 500 * most_lost
+
+
+@pytest.mark.parametrize("clean", [
+    "someLongIdentifierNameWithoutDigits", "HTTP_RESPONSE_STATUS_MESSAGE", "Donaudampfschifffahrtsgesellschaft",
+    "INTERNATIONALIZATION", "/usr/share/documentation/licenses",
+])
+def test_words_without_digits_are_left_alone(clean, vocabulary):
+    assert ss.spans(f"see {clean} there", vocabulary) == []
+
+
 @pytest.mark.parametrize("clean", [
     "/account/invitation/internationalization/8BE90CE5-BAFB-4422-A174-89A6E16BBE8C/download/latest/version/information",
     "/logs/2024-01-02T03-04-05-000000/some_service_name",
