@@ -11,6 +11,7 @@ from ledgerloom.llm import (  # noqa: F401
     sentencepiece_codec,
     simhash_dedup,
     url_filter,
+    vector_codes,
 )
 from ledgerloom.llm.common import ORACLES, QUERIES
 

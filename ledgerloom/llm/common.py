@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -52,6 +53,28 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one computation below a folder of their own, let go of together when it has its result."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.made = spark, new_folder(spark, name), 0
+
+    def stored(self, frame: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        path = f"{self.root}/{self.made:03d}-{name}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Whatever is still to be read must have been written elsewhere before."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        # Shuffle files go when nothing refers to their frames any more.
+        gc.collect()
+        jvm.System.gc()
+
+
 def word_count(text: Column) -> Column:
     """Words between ASCII white space; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -88,6 +111,6 @@ def batches_with(
 
 
 __all__ = [
-    "ORACLES", "QUERIES", "WORD", "batches_with", "new_folder", "query", "session", "shared_root",
+    "ORACLES", "QUERIES", "Scratch", "WORD", "batches_with", "new_folder", "query", "session", "shared_root",
     "stored", "table", "utf8_values", "word_count",
 ]
