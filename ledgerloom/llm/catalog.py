@@ -10,6 +10,7 @@ from ledgerloom.llm import (  # noqa: F401
     secret_scan,
     sentencepiece_codec,
     simhash_dedup,
+    spelling_variants,
     url_filter,
     vector_codes,
 )
