@@ -5,6 +5,7 @@ from ledgerloom.llm import (  # noqa: F401
     exact_dedup,
     language_id,
     mixing,
+    ngram_join,
     quality_classifier,
     quality_rules,
     secret_scan,

@@ -273,7 +273,7 @@ def bucket_links(buckets: DataFrame, most: int) -> DataFrame:
 # --- components ------------------------------------------------------------------------------------
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, stored=stored) -> DataFrame:
     """``node, root`` for every node of the undirected ``u, v``: the smallest node it reaches."""
     edges = stored(links.distinct(), "components-edges")
     seen = None
