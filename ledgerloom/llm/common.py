@@ -59,11 +59,17 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.made = spark, new_folder(spark, name), 0
 
-    def stored(self, frame: DataFrame, name: str) -> DataFrame:
+    def folder(self, name: str) -> str:
         self.made += 1
-        path = f"{self.root}/{self.made:03d}-{name}"
+        return f"{self.root}/{self.made:03d}-{name}"
+
+    def written(self, frame: DataFrame, name: str) -> tuple[DataFrame, str]:
+        path = self.folder(name)
         frame.write.parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path), path
+
+    def stored(self, frame: DataFrame, name: str) -> DataFrame:
+        return self.written(frame, name)[0]
 
     def drop(self) -> None:
         """Whatever is still to be read must have been written elsewhere before."""

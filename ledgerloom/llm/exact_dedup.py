@@ -8,9 +8,13 @@
 3. ``verify`` follows the locators of all hits (digests seen more than once), and compares whole texts
    with that of the retained document. Equal digests with other bytes become groups of their own.
 
-Null text counts as empty. Repeated rows are copies like any other: of rows with the same id and
-text exactly one is kept. An empty table gives an empty result. Columns of the input that bear the
-name of a result column are replaced in ``deduplicate``.
+A locator is a row of a file. That it names one row only is checked on the log: a frame whose rows share
+locators (a scan that was fanned out by ``explode``, a join or a union with itself) is written down first, and so is
+a frame that is no file scan. The locator's columns have names that the input doesn't have; all columns of the input
+survive ``deduplicate``.
+
+Null text counts as empty; texts may be of any length that one row can hold. Repeated rows are copies like any other:
+of rows with the same id and text exactly one is kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.common import batches_with, new_folder, query, stored, table
+from ledgerloom.llm.common import Scratch, batches_with, query, stored, table
 
 LOG_SCHEMA = "doc_id bigint, digest string, file string, row bigint"
 STATE_SCHEMA = "digest string, best struct<doc_id:bigint,file:string,row:bigint>, group_size bigint"
@@ -35,14 +39,15 @@ STATE_SETTINGS = {
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``file`` and ``row``; a frame that is no file scan is written down first."""
-    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    plain = docs.drop("file", "row")
+def located(docs: DataFrame) -> tuple[DataFrame, str, str] | None:
+    """``docs`` with the file and the row of each of its rows, and the names of these two columns."""
+    file, row = "file", "row"
+    while {file, row} & set(docs.columns):
+        file, row = f"_{file}", f"_{row}"
     try:
-        return plain.select("*", *where)
+        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)), file, row
     except AnalysisException:
-        return stored(plain, "dedup-landing").select("*", *where)
+        return None
 
 
 def digest_log(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
@@ -84,17 +89,14 @@ def run_state(spark: SparkSession, log: str, state: str, checkpoint: str) -> Dat
     ).select("digest", "s.best", "s.group_size")
 
 
-def members_of_hits(docs: DataFrame, log: DataFrame, state: DataFrame) -> DataFrame:
-    """Digest, id, locator and whole text of every document whose digest was seen again."""
-    hits = state.where("group_size > 1").select("digest", F.col("best").alias("keep"))
-    where = log.join(hits, "digest")
-    return where.join(docs.select("file", "row", "text"), ["file", "row"])
-
+def verify(docs: DataFrame, log: DataFrame, state: DataFrame, scratch: Scratch) -> DataFrame:
+    """Documents whose bytes differ from the retained ones of their digest, grouped by their bytes.
 
-def verify(docs: DataFrame, log: DataFrame, state: DataFrame) -> DataFrame:
-    """Documents whose bytes differ from the retained ones of their digest, grouped by their bytes."""
+    ``docs`` are ``file, row, text``.
+    """
     normal = F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower())
-    members = stored(members_of_hits(docs, log, state), "dedup-members")
+    hits = state.where("group_size > 1").select("digest", F.col("best").alias("keep"))
+    members = scratch.stored(log.join(hits, "digest").join(docs, ["file", "row"]), "members")
     held = members.where("keep.file = file AND keep.row = row").select(
         "digest", F.col("text").alias("held")
     )
@@ -114,17 +116,30 @@ def verify(docs: DataFrame, log: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
-def decisions(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
-    """Per document of a located frame: digest, locator, keep_id, group_size and kept."""
+def _logged(docs: DataFrame, digest, scratch: Scratch) -> tuple[DataFrame, DataFrame, str, tuple[str, str]]:
+    """Located documents, their log, its folder and the names of the locator; each locator names one row."""
+    place = located(docs)
+    for _ in range(2):
+        if place:
+            found, file, row = place
+            rows = found.select("doc_id", "text", F.col(file).alias("file"), F.col(row).alias("row"))
+            log, folder = scratch.written(digest_log(rows, digest), "log")
+            log = docs.sparkSession.read.schema(LOG_SCHEMA).parquet(folder)
+            if not log.groupBy("file", "row").agg(F.count("*").alias("n")).where("n > 1").take(1):
+                return found, log, folder, (file, row)
+        # Kept beside the result, which reads it.
+        place = located(stored(docs, "dedup-landing"))
+    raise ValueError("rows of a written table have no locators of their own")
+
+
+def _decided(docs: DataFrame, digest) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
     spark = docs.sparkSession
-    log_folder = new_folder(spark, "dedup-log")
-    digest_log(docs, digest).write.parquet(log_folder)
-    log = spark.read.schema(LOG_SCHEMA).parquet(log_folder)
+    scratch = Scratch(spark, "exact-dedup")
+    found, log, folder, (file, row) = _logged(docs, digest, scratch)
     # Written down, so that joins meet a plain exchange, whose hot digests adaptive execution splits.
-    state = stored(run_state(
-        spark, log_folder, new_folder(spark, "dedup-state"), new_folder(spark, "dedup-checkpoint")
-    ), "dedup-newest")
-    apart = stored(verify(docs, log, state), "dedup-collisions")
+    state = scratch.stored(run_state(spark, folder, scratch.folder("state"), scratch.folder("checkpoint")), "newest")
+    texts = found.select(F.col(file).alias("file"), F.col(row).alias("row"), "text")
+    apart = scratch.stored(verify(texts, log, state, scratch), "collisions")
     plain = log.join(state, "digest")
     if apart.take(1):
         # Collisions of the digest: their documents leave the group of the digest.
@@ -135,17 +150,24 @@ def decisions(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
             .withColumn("group_size", F.expr("group_size - coalesce(gone, 0)")).drop("gone")
             .unionByName(log.join(apart.drop("digest"), ["file", "row"]))
         )
-    return plain.select(
+    told = stored(plain.select(
         "doc_id", "digest", "file", "row", F.col("best.doc_id").alias("keep_id"), "group_size",
         F.expr("best.file = file AND best.row = row").alias("kept"),
-    )
+    ), "dedup-decisions")
+    scratch.drop()
+    return found, told, (file, row)
+
+
+def decisions(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
+    """Per document: doc_id, digest, locator, keep_id, group_size and kept."""
+    return _decided(docs, digest)[1]
 
 
 def deduplicate(docs: DataFrame, digest=hashlib.sha256) -> DataFrame:
     """The retained documents with all their columns."""
-    found = located(docs)
-    kept = decisions(found, digest).where("kept").select("file", "row")
-    return found.join(kept, ["file", "row"], "left_semi").drop("file", "row")
+    found, told, (file, row) = _decided(docs, digest)
+    kept = told.where("kept").select(F.col("file").alias(file), F.col("row").alias(row))
+    return found.join(kept, [file, row], "left_semi").select(*docs.columns)
 
 
 SQL = """
@@ -153,7 +175,7 @@ WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                            'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
 ), g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
-SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept,
+SELECT d.doc_id, g.keep_id, g.group_size, row_number() OVER (PARTITION BY d.t ORDER BY d.doc_id DESC NULLS LAST) = 1 AS kept,
        sha256(d.t) AS text_sha256
 FROM d JOIN g ON d.t = g.t
 """
@@ -161,7 +183,6 @@ FROM d JOIN g ON d.t = g.t
 
 @query("op4_exact_dedup", SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    docs = located(table(spark, folder, "documents"))
-    return decisions(docs).select(
+    return decisions(table(spark, folder, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
     )

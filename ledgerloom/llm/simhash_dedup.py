@@ -203,7 +203,7 @@ def first_masks(count: int, most: int) -> list[int]:
     return masks(list(range(BITS)), most + exact, exact)
 
 
-def bucketed(prints: DataFrame, count: int, most: int, hot: int = HOT_BUCKET) -> DataFrame:
+def bucketed(prints: DataFrame, count: int, most: int, hot: int = HOT_BUCKET, stored=stored) -> DataFrame:
     """``fp`` -> ``mask, key, fp``: a row for each bucket that a fingerprint belongs to."""
     rows = F.array(*[F.struct(F.lit(_signed(m)).alias("mask"),
                               F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
@@ -297,12 +297,15 @@ def components(links: DataFrame, stored=stored) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, most: int = 4, hot: int = HOT_BUCKET) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest id that links of ``most`` differing bits reach."""
+def near_duplicates(docs: DataFrame, width: int = 5, most: int = 4, hot: int = HOT_BUCKET, stored=stored) -> DataFrame:
+    """``doc_id, fp, component_id``: the smallest id that links of ``most`` differing bits reach.
+
+    ``stored`` writes the tables in between; the result still reads some of them.
+    """
     log = stored(fingerprints(docs.select("doc_id", "text"), width).select("doc_id", "fp"), "simhash-log")
     prints = stored(log.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    links = bucket_links(bucketed(prints.select("fp"), prints.count(), most, hot), most)
-    roots = components(links).select(F.col("node").alias("fp"), "root")
+    links = bucket_links(bucketed(prints.select("fp"), prints.count(), most, hot, stored), most)
+    roots = components(links, stored).select(F.col("node").alias("fp"), "root")
     rooted = stored(
         prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")),
         "simhash-rooted",

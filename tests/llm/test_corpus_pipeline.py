@@ -12,7 +12,7 @@ import sentencepiece
 import corpus_pipeline
 from ledgerloom.llm import language_id, sentencepiece_codec
 from test_mixing import plain_mix
-from test_simhash_dedup import plain_classes, plain_fingerprint
+from test_ngram_join import plain_groups
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +33,8 @@ def test_run_equals_brute_force(spark, small_folder, result):
             by_text[key] = d
     docs = list(by_text.values())
 
-    label = plain_classes(np.array([plain_fingerprint(d["text"], 5) for d in docs], np.uint64), 4)
-    least: dict[int, dict] = {}
-    for d, c in zip(docs, label):
-        if c not in least or d["doc_id"] < least[c]["doc_id"]:
-            least[c] = d
-    docs = list(least.values())
+    stays = {c for _, _, c in plain_groups([(d["doc_id"], d["text"]) for d in docs])}
+    docs = [d for d in docs if d["doc_id"] in stays]
 
     copies = plain_mix([(d["doc_id"], d["source"], d["text"]) for d in docs])
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(sentencepiece_codec.MODEL))
