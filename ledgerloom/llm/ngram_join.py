@@ -40,7 +40,7 @@ SLOTS = 1 << 22
 RANGES = 64
 CHUNK = 1000
 BLOCK = 4096
-NEAREST, GROWTH = 16, 16
+NEAREST, GROWTH = 16, 1024
 _SLOT_BLOCK = 1 << 12
 _FEED = 1 << 17
 _ID_BITS = 1 << 24
@@ -390,25 +390,27 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
         pairs = pairs.unionByName(first).distinct()
     tried = scratch.stored(pairs, "pairs")
     links = scratch.stored(verified(tried, sets, like, scratch), "links")
-    low, high = 0, NEAREST
+    low, high, roots = 0, NEAREST, None
     while True:
-        roots = scratch.stored(components(links, scratch.stored), "roots")
-        named = scratch.stored(
-            rows.join(roots, "node", "left").select("token", "node", "n", "at", "profile", F.coalesce("root", "node").alias("root")), "named")
-        # Open: several components, and members farther apart than was looked at.
-        # A pair of blocks has some 2 * BLOCK sets, and never twice as many.
+        if roots is None:
+            roots = scratch.stored(components(links, scratch.stored), "roots")
+            named = scratch.stored(
+                rows.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
+        # Open: several components, and members farther apart than was looked at. A pair of blocks has some
+        # 2 * BLOCK sets, and never twice as many.
         seen = named.groupBy("token").agg(
             F.min("root").alias("least"), F.max("root").alias("most"), F.least(F.count("*"), F.lit(4 * BLOCK)).alias("size"))
         open_ = scratch.stored(seen.where((F.col("least") != F.col("most")) & (F.col("size") > low + 1)).select("token"), "open")
         if not open_.take(1):
             return roots
         rows = scratch.stored(named.join(open_, "token", "left_semi"), "rows")
-        pairs = distant(blocked(rows), like, low, high).join(tried, ["u", "v"], "left_anti")
-        pairs = scratch.stored(pairs, "pairs")
-        links = scratch.stored(links.unionByName(verified(pairs, sets, like, scratch)), "links")
-        tried = tried.unionByName(pairs)
-        rows = rows.drop("root")
-        low, high = high, high * GROWTH
+        pairs = scratch.stored(distant(blocked(rows), like, low, high).join(tried, ["u", "v"], "left_anti"), "pairs")
+        low, high, named = high, high * GROWTH, rows
+        if pairs.take(1):
+            tried = tried.unionByName(pairs)
+            more = scratch.stored(verified(pairs, sets, like, scratch), "links")
+            if more.take(1):
+                links, roots = links.unionByName(more), None
 
 
 def near_duplicates(
