@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
 }
 
 PARTITION_BYTES = 128 << 20
+# Every machine has its own, whatever TMPDIR says.
+MACHINE_FOLDERS = ("/tmp", "/var/tmp")
 
 _local_folders: dict[str, str] = {}
 
@@ -74,9 +76,9 @@ def shared_root(spark: SparkSession) -> str:
         if app not in _local_folders:
             _local_folders[app] = tempfile.mkdtemp(prefix="ledgerloom-")
         root = _local_folders[app]
-    plain = root.removeprefix("file:")
-    own = f"{tempfile.gettempdir()}/"
-    if not context.master.startswith("local") and f"/{plain.lstrip('/')}/".startswith(own):
+    plain = f"/{root.removeprefix('file:').strip('/')}/"
+    own = {f"{folder.rstrip('/')}/" for folder in (*MACHINE_FOLDERS, tempfile.gettempdir())}
+    if not context.master.startswith("local") and root.startswith(("/", "file:")) and plain.startswith(tuple(own)):
         raise ValueError(f"spark.checkpoint.dir is {root}, a temporary folder of one machine")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)

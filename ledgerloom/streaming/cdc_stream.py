@@ -131,11 +131,24 @@ def keyed_state(changes: DataFrame) -> DataFrame:
     return cdc.newest(cdc.unwrap(changes) if "kind" in changes.columns else changes)
 
 
-def run_keyed_state(changes: DataFrame, folder: str, checkpoint: str) -> DataFrame:
-    """Changed keys of each batch go to a table; its newest row per key is the state."""
-    writer = keyed_state(changes).writeStream.outputMode("update").foreachBatch(
-        lambda batch, batch_id: batchlog.write_batch(batch, batch_id, folder)
-    )
-    batchlog.run_available(writer, checkpoint)
-    log = batchlog.read_log(changes.sparkSession, folder, T.StructType(FLAT.fields))
-    return cdc.newest(log.drop("batch")).filter(F.col("op") != "d")
+def read_keyed_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """What the state store of ``keyed_state`` holds, deletes included; of the newest batch or of an earlier one.
+
+    Read by Spark's state data source, one task a store partition: nothing is kept beside the store, which
+    Spark compacts itself. The columns of an aggregate's state are its buffers in order: the highest lsn, the row, and
+    the lsn that the row belongs to.
+    """
+    if not spark.read.text(f"{checkpoint}/commits").take(1):
+        return spark.createDataFrame([], FLAT)
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = reader.load(checkpoint)
+    lsn, row, _ = state.schema["value"].dataType.names
+    return state.select("key.key", F.col("value")[lsn].alias("lsn"), F.col("value")[row].alias("_row")).select("key", "lsn", "_row.*")
+
+
+def run_keyed_state(changes: DataFrame, checkpoint: str) -> DataFrame:
+    """Work through what has arrived; the live rows are then read from the state store itself."""
+    batchlog.run_available(keyed_state(changes).writeStream.outputMode("update").format("noop"), checkpoint)
+    return read_keyed_state(changes.sparkSession, checkpoint).filter(F.col("op") != "d")

@@ -13,6 +13,7 @@ from ledgerloom.operators import cdc
 from ledgerloom.schemas import struct
 from ledgerloom.streaming import batchlog
 
+ANNOUNCED = struct(delivery_id="str")
 RUNS = struct(delivery_id="str", parts="long", n_rows="long")
 
 
@@ -36,20 +37,41 @@ def parts_and_rows(landed: DataFrame) -> DataFrame:
     )
 
 
+# Prune by a subquery of its own where the ids are too many to be broadcast.
+PRUNE = "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly"
+
+
+def announced_rows(landed: DataFrame, ids: DataFrame) -> DataFrame:
+    """Landed rows of the announced ids, by a join that prunes the landing table's folders.
+
+    However many ids there are, they stay a table: the scan lists and reads the partitions that the join's own
+    filter names at run time. A blank id announces nothing.
+    """
+    told = ids.filter(F.col("delivery_id") > "").select("delivery_id").distinct()
+    return landed.join(told, "delivery_id", "left_semi")
+
+
 def refresh_on_marker(
     announced: DataFrame, landing: Callable[[], DataFrame], folder: str, checkpoint: str,
     build: Callable[[DataFrame], DataFrame] = parts_and_rows, schema: T.StructType = RUNS,
 ) -> DataFrame:
     """One refresh per delivery: ``build`` runs once on the landed rows of what was announced.
 
-    The announced ids are few (one per delivery of a micro-batch) and become a filter on the landing
-    table's partition column, so the scan lists and reads the announced folders alone.
+    The ids of a batch are written down and joined with the landing table on its partition column.
     """
+    ids = f"{folder}-announced"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        ids = [row["delivery_id"] for row in batch.collect()]
-        rows = landing().filter(F.col("delivery_id").isin(ids))
-        batchlog.write_batch(build(rows), batch_id, folder)
+        batchlog.write_batch(batch, batch_id, ids)
+        landed = landing()
+        spark = landed.sparkSession
+        before = spark.conf.get(PRUNE)
+        spark.conf.set(PRUNE, "false")
+        try:
+            told = batchlog.read_batches(spark, ids, ANNOUNCED, range(batch_id, batch_id + 1))
+            batchlog.write_batch(build(announced_rows(landed, told)), batch_id, folder)
+        finally:
+            spark.conf.set(PRUNE, before)
 
     batchlog.run_available(announced.writeStream.foreachBatch(refresh), checkpoint)
     return batchlog.read_log(announced.sparkSession, folder, schema)

@@ -154,10 +154,29 @@ def test_stream_restarts_where_it_stopped(spark, mode):
         changes = cdc_stream.envelope_source(spark, landed, files_per_batch=1)
         if mode == "table":
             return cdc_stream.apply_changes(changes, state, check, compact_every=2).current()
-        return cdc_stream.run_keyed_state(changes, state, check)
+        return cdc_stream.run_keyed_state(changes, check)
 
     _land(spark, landed, BATCHES[:2], 0)
     assert live(run()) == [(1, 6), (3, 3)]
     _land(spark, landed, BATCHES[2:], 2)
     assert live(run()) == AFTER_ALL
     assert live(run()) == AFTER_ALL
+
+
+def test_keyed_state_is_read_from_the_store_alone(spark):
+    landed, check = new_folder(spark, "t-land"), new_folder(spark, "t-check")
+    _land(spark, landed, BATCHES, 0)
+    changes = cdc_stream.envelope_source(spark, landed, files_per_batch=1)
+    state = cdc_stream.run_keyed_state(changes, check)
+    assert live(state) == AFTER_ALL
+    # The only input is the checkpoint: no table of batches is written or read.
+    assert not state.inputFiles() and "StateScan" in state._jdf.queryExecution().executedPlan().toString()
+    before = cdc_stream.read_keyed_state(spark, check, 1).filter("op != 'd'")
+    assert live(before) == [(1, 6), (3, 3)]
+
+
+def test_keyed_state_of_a_stream_without_records(spark):
+    landed, check = new_folder(spark, "t-land"), new_folder(spark, "t-check")
+    spark.createDataFrame([], "value string").write.text(landed)
+    state = cdc_stream.run_keyed_state(cdc_stream.envelope_source(spark, landed), check)
+    assert state.count() == 0 and state.columns == ["key", "lsn", "ts", "op", "value", "event_type", "k"]

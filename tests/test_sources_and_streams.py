@@ -209,12 +209,15 @@ def test_shared_folder_comes_from_the_session():
     assert session.new_folder(fake, "t").startswith("hdfs://shared/cp/app-1/t-")
 
 
-def test_a_temporary_folder_of_one_machine_is_refused_on_a_cluster():
-    for folder in ("file:///tmp/x", "file:/tmp/x", "/tmp"):
+@pytest.mark.parametrize("told", ["/tmp", "/proc/self/cwd/.tmp", "/mnt/scratch"])
+def test_a_temporary_folder_of_one_machine_is_refused_on_a_cluster(monkeypatch, told):
+    monkeypatch.setattr(session.tempfile, "tempdir", told)
+    for folder in ("file:///tmp/x", "file:/tmp/x", "/tmp", "file:///var/tmp/y", f"{told}/z"):
         with pytest.raises(ValueError):
             session.shared_root(FakeSession("spark://x", folder))
         assert session.shared_root(FakeSession("local[2]", folder)) == folder.rstrip("/")
-    assert session.shared_root(FakeSession("spark://x", "file:/mnt/shared")) == "file:/mnt/shared"
+    for folder in ("file:/mnt/shared", "hdfs://tmp/x", "hdfs:///tmp/x", "/tmpfiles/x"):
+        assert session.shared_root(FakeSession("spark://x", folder)) == folder
 
 
 def test_exchanges_start_as_wide_as_the_input(spark):
