@@ -347,8 +347,14 @@ def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- verification ----------------------------------------------------------------------------------
 
 
-def verified(pairs: DataFrame, sets: DataFrame, like: Likeness, scratch: Scratch) -> DataFrame:
-    """Those of the distinct ``u, v`` whose whole sets are alike: the set of ``v`` goes out once for a chunk of members."""
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness, scratch: Scratch) -> DataFrame:
+    """Those of the distinct ``u, v`` whose whole sets are alike: the set of ``v`` goes out once for a chunk of members.
+
+    Only sets of candidates are made again from their texts and written down.
+    """
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    asked = scratch.stored(nodes.select("node", "doc_id").join(asked, "node", "left_semi"), "asked")
+    sets = scratch.stored(bodies(docs, like, asked), "sets")
     size = scratch.stored(pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks")), "leaders")
     leader = size.join(sets, size["v"] == sets["node"]).select(
         "v", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("bigint").alias("u"), "body")
@@ -383,13 +389,11 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
         log.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("profile").alias("profile")), "nodes")
     shared = scratch.stored(shared_keys(prefixes(docs, like, held)), "shared")
     rows = scratch.stored(shared.join(nodes.select("node", "profile"), "node").select("token", "node", "n", "at", "profile"), "rows")
-    asked = scratch.stored(nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "doc_id"), "asked")
-    sets = scratch.stored(bodies(docs, like, asked), "sets")
     pairs = led(rows, like)
     if first is not None:
         pairs = pairs.unionByName(first).distinct()
     tried = scratch.stored(pairs, "pairs")
-    links = scratch.stored(verified(tried, sets, like, scratch), "links")
+    links = scratch.stored(verified(tried, docs, nodes, like, scratch), "links")
     low, high, roots = 0, NEAREST, None
     while True:
         if roots is None:
@@ -408,7 +412,7 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
         low, high, named = high, high * GROWTH, rows
         if pairs.take(1):
             tried = tried.unionByName(pairs)
-            more = scratch.stored(verified(pairs, sets, like, scratch), "links")
+            more = scratch.stored(verified(pairs, docs, nodes, like, scratch), "links")
             if more.take(1):
                 links, roots = links.unionByName(more), None
 
