@@ -34,12 +34,16 @@ def country_resolves(facts: DataFrame, countries: DataFrame, key: str = "country
     return _violations(lost, "country_resolves", F.col(key))
 
 
-def fiscal_is_not_calendar(rows: DataFrame, day: str, label: str) -> DataFrame:
+def calendar_label_held(day: str, label: str) -> Column:
     """Before the start month the fiscal label must be the calendar year, after it the next one."""
     expected = F.when(F.month(day) < FISCAL_START_MONTH, calendar_year_label(F.col(day))).otherwise(
         calendar_year_label(F.add_months(day, 12))
     )
-    bad = rows.filter(~F.col(label).eqNullSafe(expected)).select(day, label).distinct()
+    return ~F.col(label).eqNullSafe(expected)
+
+
+def fiscal_is_not_calendar(rows: DataFrame, day: str, label: str) -> DataFrame:
+    bad = rows.filter(calendar_label_held(day, label)).select(day, label).distinct()
     return _violations(
         bad, "fiscal_is_not_calendar",
         F.concat_ws(" ", F.col(day).cast("string"), F.coalesce(label, F.lit("null"))),

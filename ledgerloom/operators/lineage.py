@@ -78,6 +78,30 @@ def ancestors(links: DataFrame, start: DataFrame) -> DataFrame:
             seen = cut(seen)
 
 
+def all_ancestors(links: DataFrame) -> DataFrame:
+    """``node, ancestor, depth``: every pair of different nodes that a path connects, with its shortest length.
+
+    Paths double: what is ``reach`` edges away exactly continues with every pair known so far, of ``reach`` edges
+    or fewer, so a depth of a thousand takes ten rounds, for all nodes at once. A round forms only pairs that are
+    farther apart than those before, and cycles end because a pair is known once. The result is as large as the
+    number of such pairs; a walk from a few nodes is ``ancestors``.
+    """
+    edges = links.select(F.col("dst").alias("node"), F.col("src").alias("ancestor")).filter("node <> ancestor").distinct()
+    known, reach = cut(edges.withColumn("depth", F.lit(1))), 1
+    while True:
+        far = known.filter(F.col("depth") == reach).select("node", F.col("ancestor").alias("via"))
+        further = known.select(F.col("node").alias("via"), "ancestor", (F.col("depth") + reach).alias("depth"))
+        found = (
+            far.join(further, "via").filter("node <> ancestor")
+            .groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+            .join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti")
+        )
+        found = cut(found)
+        if found.isEmpty():
+            return known
+        known, reach = cut(known.unionByName(found)), 2 * reach
+
+
 def orphans(sources: DataFrame, links: DataFrame) -> DataFrame:
     """Declared source nodes that feed nothing."""
     return sources.join(links.select(F.col("src").alias("node")), "node", "left_anti")

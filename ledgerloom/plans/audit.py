@@ -27,12 +27,14 @@ WITH lines AS (
 ), spans AS (
   SELECT currency, rate, day, lead(day) OVER (PARTITION BY currency ORDER BY day) AS until FROM {quotes}
 ), held AS (
-  SELECT currency, rate,
-         explode(sequence(day, coalesce(until - 1, greatest(day, (SELECT max(day) FROM lines))))) AS day
-  FROM spans
+  SELECT currency, rate, explode(sequence(day, coalesce(until - 1, day))) AS day FROM spans
+), ended AS (
+  SELECT currency, max(day) AS day FROM {quotes} GROUP BY currency
 ), priced AS (
+  -- The last quote of a currency holds for every later day.
   SELECT l.day, l.cancelled, round(l.amount * h.rate, 4) AS usd
-  FROM lines l LEFT JOIN held h ON h.currency = concat('CUR', l.money) AND h.day = l.day
+  FROM lines l LEFT JOIN ended e ON e.currency = concat('CUR', l.money)
+  LEFT JOIN held h ON h.currency = e.currency AND h.day = CASE WHEN l.day > e.day THEN e.day ELSE l.day END
 )
 """
 SUMS = """

@@ -10,7 +10,8 @@ from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions import fiscal
 from ledgerloom.functions.money import TOTAL
-from ledgerloom.operators import contracts, measures, metadata
+from ledgerloom.operators import contracts, measures, metadata, suites
+from ledgerloom.operators.suites import Check, Suite
 from ledgerloom.plans import audit, common, sql
 from ledgerloom.plans.landing_queries import model_name, to_model
 from ledgerloom.plans.registry import query
@@ -230,35 +231,88 @@ FROM (SELECT unnest([""" + ", ".join(f"'{c}'" for c in schemas.PUBLISHED_CONTRAC
 LEFT JOIN found USING (contract)""",
 )
 def contract_report(t: Tables) -> DataFrame:
-    """Every published contract on one build: its lines, its four tables and what it was built from."""
+    """Every published contract on one build, each table of it and of its sources read by one pass."""
     lines = common.written_lines(t)
     tables = common.star_tables(t, lines)
-    summary, countries = tables["Reporting"], tables["Country"]
-    money = ["revenue", "revenue_usd", "cancelled_usd", "carried_rate_usd"]
-    raw = audit.totals(t).withColumn("sale_lines", F.col("sale_lines").cast(TOTAL))
+    known = tables["Country"].select(F.col("country").alias("_known"))
+    unresolved = F.col("_known").isNull() & F.col("country").isNotNull() & (F.col("country") != schemas.UNKNOWN)
+
+    def with_country(frame: DataFrame) -> DataFrame:
+        return frame.join(known, F.col("country") == F.col("_known"), "left")
+
+    measured = ["revenue_usd", "cancelled_usd", "sale_lines"]
     days = fixtures.order_days(t).withColumn("label", fiscal.fiscal_year(F.col("day")))
+    built = [
+        Suite("lines", lines, [
+            Check("no_orphan_lines", F.col("is_orphan_order"), suites.ONCE),
+            Check("rate_is_known", F.col("rate_status") == "missing", suites.VALUES, F.col("currency")),
+        ]),
+        Suite("Revenue", with_country(tables["Revenue"]), [
+            Check("country_resolves", F.col("_known").isNull() & ~F.col("country").eqNullSafe(schemas.UNKNOWN),
+                  suites.VALUES, F.col("country"))],
+            key=["order_date", "country"], not_empty=True),
+        Suite("Customer", with_country(tables["Customer"]), [
+            suites.not_null("customer_id"), Check("relationship", unresolved, suites.VALUES, F.col("country"))],
+            key=["customer_id"], not_empty=True),
+        Suite("lineitem", t.lineitem, key=["l_orderkey", "l_linenumber"]),
+        Suite("store_customers", fixtures.store_customers(t), [suites.not_null("email")]),
+        Suite("order_days", days, [
+            Check("fiscal_is_not_calendar", contracts.calendar_label_held("day", "label"), suites.VALUES, F.concat_ws(" ", "day", "label"))]),
+    ]
+    summary = Suite(
+        "Reporting", tables["Reporting"], [suites.accepted_values("channel", schemas.CHANNELS)], not_empty=True,
+        sums={**{m: F.col(m) for m in measured}, **{f"rows_{c}": (F.col("channel") == c).cast("bigint") for c in schemas.CHANNELS}})
+    country = Suite("Country", tables["Country"], [suites.not_null("country")], key=["country"], not_empty=True)
+    # Held as one row each, because several contracts read them.
+    of_summary, of_country = cut(summary.evaluated()), cut(country.evaluated())
+    totals = of_summary.select(*[F.coalesce(m, F.lit(0)).cast(TOTAL).alias(m) for m in measured])
+    channels = of_summary.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("channel"), F.coalesce(f"rows_{c}", F.lit(0)).alias("n")) for c in schemas.CHANNELS])).alias("c")).select("c.*")
+    raw = common.written(audit.totals(t).withColumn("sale_lines", F.col("sale_lines").cast(TOTAL)), "audit")
     stated = t.nation.agg(F.count("*").alias("n_rows")).select(F.lit("Country").alias("table_name"), "n_rows")
+    rest = [
+        contracts.channels_present(channels.where("n > 0")),
+        contracts.money_is_decimal(
+            metadata.catalogue(t.spark, tables), ["revenue", "revenue_usd", "cancelled_usd", "carried_rate_usd"]),
+        contracts.summary_conserves_revenue(totals, raw),
+        contracts.not_all_zero(totals),
+        contracts.expected_counts(of_country.select(F.lit("Country").alias("table_name"), "n_rows"), stated),
+    ]
+    counted = [r.select("contract", F.lit(1).cast("bigint").alias("violations")) for r in rest]
+    found = [s.violations() for s in built] + [summary.violations(of_summary), country.violations(of_country)]
+    return suites.report(schemas.PUBLISHED_CONTRACTS, found + counted)
+
+
+SUITES_SQL = """
+SELECT 'unique' AS contract, 'lineitem' AS table_name, count(*) AS violations FROM (
+  SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+UNION ALL SELECT 'few_units', 'lineitem', count(*) FROM lineitem WHERE l_quantity < 3
+UNION ALL SELECT 'accepted_values', 'lineitem', count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
+UNION ALL SELECT 'unique', 'orders', 0
+UNION ALL SELECT 'not_empty', 'orders', 0
+UNION ALL SELECT 'accepted_values', 'orders', count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+UNION ALL SELECT 'not_null', 'orders', 0
+UNION ALL SELECT 'relationship', 'orders', count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 10 = 0
+UNION ALL SELECT 'not_null', 'store_customers', CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM customer WHERE c_custkey % 33 = 0
+UNION ALL SELECT 'not_empty', 'store_customers', 0"""
+
+
+@query("dq_08_table_suites", SUITES_SQL)
+def table_suites(t: Tables) -> DataFrame:
+    """The generic tests of three tables, one pass over each."""
+    some = t.customer.filter(F.col("c_custkey") % 10 != 0).select(F.col("c_custkey").alias("_known"))
+    orders = t.orders.join(some, F.col("o_custkey") == F.col("_known"), "left")
     found = [
-        contracts.channels_present(summary),
-        contracts.country_resolves(tables["Revenue"].filter(F.col("country") != schemas.UNKNOWN), countries),
-        contracts.fiscal_is_not_calendar(days, "day", "label"),
-        contracts.money_is_decimal(metadata.catalogue(t.spark, tables), money),
-        contracts.summary_conserves_revenue(summary, raw),
-        contracts.not_empty(tables),
-        contracts.not_all_zero(measures.grand_totals(summary)),
-        contracts.expected_counts(metadata.row_counts({"Country": countries}), stated),
-        contracts.unique(t.lineitem, ["l_orderkey", "l_linenumber"]),
-        contracts.unique(countries, ["country"]), contracts.unique(tables["Customer"], ["customer_id"]),
-        contracts.unique(tables["Revenue"], ["order_date", "country"]),
-        contracts.not_null(fixtures.store_customers(t), "email"),
-        contracts.not_null(countries, "country"), contracts.not_null(tables["Customer"], "customer_id"),
-        contracts.accepted_values(summary, "channel", schemas.CHANNELS),
-        contracts.relationship(
-            tables["Customer"].filter(F.col("country") != schemas.UNKNOWN), "country", countries, "country"),
-        contracts.no_orphan_lines(lines),
-        contracts.rate_is_known(lines),
+        Suite("lineitem", t.lineitem, [
+            Check("few_units", F.col("l_quantity") < 3), suites.accepted_values("l_returnflag", ["A", "N"])],
+            key=["l_orderkey", "l_linenumber"]),
+        Suite("orders", orders, [
+            suites.accepted_values("o_orderstatus", ["F", "O"]), suites.not_null("o_custkey"),
+            Check("relationship", F.col("_known").isNull() & F.col("o_custkey").isNotNull(), suites.VALUES, F.col("o_custkey"))],
+            key=["o_orderkey"], not_empty=True),
+        Suite("store_customers", fixtures.store_customers(t), [suites.not_null("email")], not_empty=True),
     ]
-    return contracts.report(schemas.PUBLISHED_CONTRACTS, reduce(DataFrame.unionByName, found))
+    return reduce(DataFrame.unionByName, [s.violations() for s in found])
 
 
 @query(

@@ -47,6 +47,21 @@ def upstream_walk(t: Tables) -> DataFrame:
     return lineage.ancestors(lineage.edges(fixtures.moves(t)), start)
 
 
+@query(
+    "lin_03_all_ancestors",
+    sql.using(sql.EDGES).replace("WITH ", "WITH RECURSIVE ", 1) + """
+, walk(node, ancestor, depth) AS (
+  SELECT dst, src, 1 FROM edges
+  UNION
+  SELECT w.node, e.src, w.depth + 1 FROM walk w JOIN edges e ON e.dst = w.ancestor
+)
+SELECT node, ancestor, CAST(min(depth) AS INTEGER) AS depth FROM walk WHERE node <> ancestor GROUP BY ALL""",
+)
+def all_ancestors(t: Tables) -> DataFrame:
+    """Everything that any node comes from, paths doubled round by round."""
+    return lineage.all_ancestors(lineage.edges(fixtures.moves(t)))
+
+
 @query(
     "lin_04_orphan_nodes",
     """

@@ -8,7 +8,7 @@ from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions import fiscal
 from ledgerloom.functions.money import total, total_text, total_where
-from ledgerloom.operators import clean, compare, fx, geography, identity, measures, metadata, star
+from ledgerloom.operators import clean, compare, digests, fx, geography, identity, measures, metadata, star
 from ledgerloom.plans import audit, common, sql
 from ledgerloom.plans.registry import query
 
@@ -419,3 +419,30 @@ def differing_rows(t: Tables) -> DataFrame:
     left = t.orders.selectExpr("CAST(o_orderdate AS DATE) AS day", "o_orderstatus AS status")
     rewritten = F.when(F.col("status") == "P", "F").otherwise(F.col("status"))
     return compare.differing_rows(left, left.withColumn("status", rewritten))
+
+
+@query(
+    "set_05_differing_rows_by_digest",
+    """
+WITH wrong AS (SELECT * FROM lineitem WHERE l_orderkey % 500 = 7)
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) + more AS BIGINT) AS quantity, side, count(*) AS copies
+FROM wrong, (VALUES ('left', 0), ('right', 1)) v(side, more) GROUP BY ALL""",
+)
+def differing_rows_by_digest(t: Tables) -> DataFrame:
+    """Line items against a copy in which some orders were changed: only ranges that differ are exchanged."""
+    left = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("quantity"))
+    changed = F.col("quantity") + F.when(F.col("l_orderkey") % 500 == 7, 1).otherwise(0)
+    return digests.differing_rows_by_digest(left, left.withColumn("quantity", changed), ["l_orderkey"])
+
+
+@query(
+    "set_05_equal_by_digest",
+    """
+WITH base AS (SELECT DISTINCT * FROM lineitem)
+SELECT count(*) AS left_rows, count(*) AS right_rows, TRUE AS equal FROM base""",
+)
+def equal_by_digest(t: Tables) -> DataFrame:
+    """Line items cleaned of redeliveries against the distinct line items; no row of either is exchanged for it."""
+    names = list(schemas.TABLES["lineitem"].names)
+    cleaned = clean.latest_delivery(fixtures.redelivered_lines(t), names, "delivery_no")
+    return digests.same_by_digest(cleaned.drop("delivery_no"), t.lineitem.distinct(), ["l_orderkey"])

@@ -31,6 +31,12 @@ def last_batch(spark: SparkSession, folder: str) -> int:
     return -1 if found is None else found
 
 
+def last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Number of the newest batch that a stream has committed; its commit files are named by it."""
+    files = spark.read.text(f"{checkpoint}/commits").select(F.col("_metadata.file_name").try_cast("bigint").alias("batch"))
+    return files.agg(F.max("batch")).first()[0]
+
+
 def run_available(writer, checkpoint: str) -> None:
     """Work through everything that has arrived, then stop; failures surface here."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -134,11 +134,12 @@ def keyed_state(changes: DataFrame) -> DataFrame:
 def read_keyed_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """What the state store of ``keyed_state`` holds, deletes included; of the newest batch or of an earlier one.
 
+    Spark retains some earlier batches (``spark.sql.streaming.minBatchesToRetain``).
     Read by Spark's state data source, one task a store partition: nothing is kept beside the store, which
     Spark compacts itself. The columns of an aggregate's state are its buffers in order: the highest lsn, the row, and
     the lsn that the row belongs to.
     """
-    if not spark.read.text(f"{checkpoint}/commits").take(1):
+    if batchlog.last_commit(spark, checkpoint) is None:
         return spark.createDataFrame([], FLAT)
     reader = spark.read.format("statestore")
     if batch_id is not None:
