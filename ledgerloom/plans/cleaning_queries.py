@@ -297,14 +297,14 @@ def date_text(t: Tables) -> DataFrame:
     return fixtures.order_days(t).select("order_key", text.date_text(F.col("day")).alias("day"))
 
 
-CONVERTED_SQL = """
-SELECT order_key, order_date, sku, currency, amount, rate, usd FROM enriched
-WHERE channel = 'store'"""
+CONVERTED_SQL = "SELECT channel, order_key, order_date, sku, currency, amount, rate, usd FROM enriched"
 
 
 @query("scl_05_fx_convert", sql.using(*sql.STAR) + CONVERTED_SQL)
 def fx_convert(t: Tables) -> DataFrame:
-    return star.price(fixtures.store_sales(t), common.rates(t)).select("order_key", "order_date", "sku", "currency", "amount", "rate", "usd")
+    """Amounts of both channels in their own currency, the rate that held, and USD."""
+    columns = ["channel", "order_key", "order_date", "sku", "currency", "amount", "rate", "usd"]
+    return star.union_channels(*[lines.select(*columns) for lines in common.priced_channels(t)])
 
 
 @query(

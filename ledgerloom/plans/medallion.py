@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
 from ledgerloom.functions.text import utc_instant
-from ledgerloom.operators import cdc, clean, fx, geography, identity, metadata, star
-from ledgerloom.plans import sql
+from ledgerloom.operators import cdc, clean, fx, geography, identity, metadata, star, upkeep
+from ledgerloom.plans import common, sql
 from ledgerloom.plans.registry import query
 from ledgerloom.session import new_folder
 from ledgerloom.sources import landing, sinks
@@ -104,6 +104,25 @@ def gold_from_layers(t: Tables) -> DataFrame:
     return layers.read("gold/revenue_summary").select(*schemas.SUMMARY.names)
 
 
+@query(
+    "snk_04_gold_after_deliveries", sql.using(*sql.STAR, sql.SUMMARY) + "SELECT * FROM summary"
+)
+def gold_after_deliveries(t: Tables) -> DataFrame:
+    """The summary kept up to date: one order in fifty comes late, one in fifty came wrong and is delivered again."""
+    lines = common.written_lines(t)
+    store = F.col("channel") == "store"
+    late, wrong = store & (F.col("order_key") % 50 == 3), store & (F.col("order_key") % 50 == 4)
+    stored = lines.where(~late).withColumns({
+        "units": F.when(wrong, F.col("units") + 5).otherwise(F.col("units")),
+        "is_cancelled": F.when(wrong, ~F.col("is_cancelled")).otherwise(F.col("is_cancelled")),
+    })
+    summary = upkeep.MaintainedSummary(t.spark, new_folder(t.spark, "kept-summary"))
+    summary.rebuild(stored)
+    for delivery in (lines.where(wrong), lines.where(late)):
+        summary.apply(upkeep.superseded(stored, delivery), delivery)
+    return summary.read()
+
+
 @query(
     "snk_04_layer_sizes",
     sql.using(*sql.STAR, sql.SUMMARY, sql.DAILY, sql.CHANGES) + """

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from ledgerloom.schemas import struct
+
+MANIFEST = struct(table_name="str", n_rows="long")
 
 def write_document(tables: Mapping[str, DataFrame], folder: str) -> str:
     """Several named row sets as one document: a JSON folder per name."""
@@ -31,3 +34,12 @@ def write_table(
         writer = writer.partitionBy(partition_by)
     writer.save(folder)
     return folder
+
+
+def write_with_manifest(frame: DataFrame, folder: str, name: str, manifest: str) -> str:
+    """A delivery and, written after it, the number of rows that its producer sent: counted by the pass that wrote them."""
+    sent = Observation(f"sent_{name}")
+    frame.observe(sent, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(folder)
+    stated = frame.sparkSession.createDataFrame([(name, sent.get["n_rows"])], MANIFEST)
+    stated.coalesce(1).write.mode("append").parquet(manifest)
+    return folder

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+
 def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
@@ -31,6 +33,15 @@ def last_batch(spark: SparkSession, folder: str) -> int:
     return -1 if found is None else found
 
 
+def last_state(spark: SparkSession, folder: str) -> int:
+    """Number of the newest ``state=N`` folder that has rows, -1 if there is none; each row tells it in ``of_state``."""
+    try:
+        found = spark.read.schema("of_state bigint").parquet(folder).agg(F.max("of_state")).first()[0]
+    except AnalysisException:  # nothing was written yet
+        return -1
+    return -1 if found is None else found
+
+
 def last_commit(spark: SparkSession, checkpoint: str) -> int | None:
     """Number of the newest batch that a stream has committed; its commit files are named by it."""
     files = spark.read.text(f"{checkpoint}/commits").select(F.col("_metadata.file_name").try_cast("bigint").alias("batch"))
