@@ -9,7 +9,8 @@ tried: none, then every control string inside a text gets a backslash (``[INST]`
 
 Null text and null role count as empty. Rows of a conversation are ordered by turn (null last), then role
 and text. Repeated rows are turns of their own. A conversation is one output value, so
-its turns do meet in one task; conversations spread over all tasks.
+its turns do meet in one task (a bound of 2 GB a conversation); conversations spread over all tasks.
+Other columns than the four named ones aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerloom.llm.common import query, table
 
 ASSISTANT = "assistant"
-TURN = r"(?s)<s>.*?</s>|\[INST\][^\n]*\n.*?\[/INST\]"
+# A turn begins where the one before ends, so that a text full of opening strings is gone through once.
+TURN = r"(?s)\G(?:<s>.*?</s>|\[INST\][^\n]*\n.*?\[/INST\])"
 _ROLE_CODES = [("\n", "%0A"), ("[", "%5B"), ("<", "%3C")]
 LEVELS = 2
 

@@ -42,7 +42,7 @@ _WORDS_OF_ASSIGN = ("password", "passwd", "secret", "token", "api_key", "apikey"
 _LONG_HEX = re.compile(r"[0-9a-f]{16,}")  # the matches of HEX that are long enough
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}(?![A-Za-z0-9+/=_-])")
-_LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
+_LETTER, _DIGIT, _ALNUM = re.compile("[A-Za-z]"), re.compile("[0-9]"), re.compile("[A-Za-z0-9]")
 _DIGEST = re.compile(r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 _UUID = re.compile(r"(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 # Possessive throughout: one way to match, so the time is linear.
@@ -50,7 +50,9 @@ _STAMP = re.compile(r"[0-9]++(?:[-_/T=][0-9]++)*+Z?")
 # Inside a run: what stands between separators, words, and known things.
 _BETWEEN, _WORD = re.compile("[A-Za-z0-9+]+"), re.compile("[A-Za-z]{3,}")
 _UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])")
-_STAMP_INSIDE = re.compile(r"(?<![A-Za-z0-9])[0-9]++(?:[-_/T=][0-9]++){2,}+Z?(?![A-Za-z0-9])")
+# A whole run of numbers and separators, whatever follows it: every later start would end in the same place.
+_STAMP_RUN = re.compile(r"(?<![A-Za-z0-9])[0-9]++(?:[-_/T=][0-9]++)*+")
+_NUMBER = re.compile("[0-9]+")
 # Words of three letters and more, joined by one separator or by case, with short numbers at their ends.
 _PART = r"(?:[A-Z]?[a-z]{3,}+|[A-Z]{3,}+)[0-9]{0,4}+"
 _IDENTIFIER = re.compile(rf"{_PART}(?:{_PART}|[-_/=](?:{_PART}|v?[0-9]{{1,4}}+))*+")
@@ -97,13 +99,23 @@ def random(run: str, vocabulary: tiktoken.Encoding) -> bool:
     return per_token(run, vocabulary) < limit and not known(run, vocabulary)
 
 
+def stamps(run: str) -> list[tuple[int, int]]:
+    """Dates and times inside a run: three numbers or more, with nothing but a Z glued to them."""
+    found = []
+    for m in _STAMP_RUN.finditer(run):
+        end = m.end() + (run[m.end():m.end() + 1] == "Z")
+        if not _ALNUM.match(run, end) and len(_NUMBER.findall(m[0])) > 2:
+            found.append((m.start(), end))
+    return found
+
+
 def hidden(run: str, taken: list[tuple[int, int]], vocabulary: tiktoken.Encoding) -> list[tuple[int, int]]:
     """Random stretches of a run that isn't random as a whole, between separators.
 
     From each part, the fewest parts that make up ``SHORTEST`` characters are judged on their own; hits that
     overlap are one. What begins or ends in a word, or touches ``taken``, a UUID, a date or a digest, isn't tried.
     """
-    barred = taken + [m.span() for m in _UUID_INSIDE.finditer(run)] + [m.span() for m in _STAMP_INSIDE.finditer(run)]
+    barred = taken + [m.span() for m in _UUID_INSIDE.finditer(run)] + stamps(run)
     barred.sort()
     parts, closed, word, at = [], [], [], 0
     for m in _BETWEEN.finditer(run):

@@ -18,6 +18,7 @@ from __future__ import annotations
 import codecs
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import pairwise
 
@@ -37,6 +38,8 @@ BLANK = "▁"
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _NO_RANK = np.int32(2**31 - 1)
+# Pieces of one symbol alone are no longer than this, or their runs are merged as any text.
+_LONGEST_RUN = 64
 # Above the code points; a pair of symbols is one 64-bit key.
 _SHIFT = 22
 
@@ -48,6 +51,44 @@ def _each_bad_byte(error: UnicodeDecodeError):
 codecs.register_error("each-bad-byte", _each_bad_byte)
 
 
+@dataclass(frozen=True)
+class Run:
+    """What a run of one symbol becomes if all its pairs have the same rank.
+
+    The leftmost pair is merged until the piece at the left is ``longest``, with which no pair begins; then the rest is a
+    run of its own. Shorter than twice that, ``ends`` says what becomes of it: places and pieces.
+    """
+
+    reached: list[int]
+    longest: int
+    width: int
+    ends: list[tuple[list[int], list[int]]]
+
+    @staticmethod
+    def merged(one: int, count: int, pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
+        symbols, places = [one] * count, list(range(count))
+        while True:
+            hit = next((i for i in range(len(symbols) - 1) if (symbols[i], symbols[i + 1]) in pairs), None)
+            if hit is None:
+                return places, symbols
+            symbols[hit:hit + 2] = [pairs[symbols[hit], symbols[hit + 1]]]
+            del places[hit + 1]
+
+    @classmethod
+    def of(cls, one: int, reached: list[int], pairs: dict[tuple[int, int], int]) -> "Run | None":
+        places, symbols = cls.merged(one, 4 * _LONGEST_RUN, pairs)
+        longest = symbols[0]
+        if len(places) < 4 or any((longest, x) in pairs for x in reached):
+            return None
+        return cls(reached, longest, places[1], [cls.merged(one, n, pairs) for n in range(2 * places[1])])
+
+    def filled(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        whole = max(0, count // self.width - 1)
+        places, symbols = self.ends[count - whole * self.width]
+        return (np.concatenate([np.arange(whole) * self.width, np.array(places, np.int64) + whole * self.width]).astype(np.int64),
+                np.array([self.longest] * whole + symbols, np.int64))
+
+
 class Codec:
     """Encoder and decoder of one model file."""
 
@@ -112,6 +153,7 @@ class Codec:
             inside = side < self.size
             np.minimum.at(best, side[inside], self.ranks[inside])
         self.alone = best <= rank
+        self.chains = self._chains()
 
     def _decoding(self, model) -> None:
         surfaces = []
@@ -137,6 +179,82 @@ class Codec:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], _NO_RANK), self.made[at]
 
+    def _rough(self, hit, symbol, part, rank, made) -> np.ndarray:
+        """Hits that would make a pair of their own rank or better with a neighbour as it is, or as merged with them.
+
+        Such a pair comes before the hits to its right. The others can be merged together.
+        """
+        rough = np.zeros(len(hit), bool)
+        at = np.flatnonzero(self.alone[made[hit]])
+        if not len(at):
+            return rough
+        h, last = hit[at], len(symbol) - 1
+        new, bound = made[h], rank[h]
+        before, after = hit[np.maximum(at - 1, 0)] == h - 2, hit[np.minimum(at + 1, len(hit) - 1)] == h + 2
+        left, right = np.maximum(h - 1, 0), np.minimum(h + 2, last)
+        inside_left, inside_right = (h > 0) & (part[left] == part[h]), (h + 2 <= last) & (part[right] == part[h])
+        for there, one, two in (
+            (inside_left, symbol[left], new), (inside_left & before, made[np.maximum(h - 2, 0)], new),
+            (inside_right, new, symbol[right]), (inside_right & after, new, made[right]),
+        ):
+            rough[at] |= there & (self._pairs(one, two)[0] <= bound)
+        return rough
+
+    def _chains(self) -> dict[int, "Run"]:
+        """Symbols whose runs give pieces of one rank only: there the leftmost pair wins over and over."""
+        same = np.flatnonzero(self.keys >> _SHIFT == self.keys & ((1 << _SHIFT) - 1))
+        found = {}
+        for k in same.tolist():
+            one, bound = int(self.keys[k] >> _SHIFT), int(self.ranks[k])
+            reached, pairs = [one], {}
+            for a in reached:  # grows as it goes
+                for b in list(reached):
+                    for x, y in ((a, b), (b, a)):
+                        r, m = self._pairs(np.array([x]), np.array([y]))
+                        if r[0] != _NO_RANK:
+                            pairs[x, y] = (int(r[0]), int(m[0]))
+                            if int(m[0]) not in reached:
+                                reached.append(int(m[0]))
+                if len(reached) > _LONGEST_RUN or any(r != bound for r, _ in pairs.values()):
+                    break
+            else:
+                if len(reached) > 2 and (run := Run.of(one, reached, {p: m for p, (_, m) in pairs.items()})):
+                    found[one] = run
+        return found
+
+    def _even_runs(self, symbol, part, rank, least) -> np.ndarray | None:
+        """Merge whole runs of a symbol in place; positions that stay, or None without such runs."""
+        keep = None
+        for one, run in self.chains.items():
+            inside = symbol == one
+            begin = inside.copy()
+            begin[1:] &= ~(inside[:-1] & (part[1:] == part[:-1]))
+            start = np.flatnonzero(begin)
+            if not len(start):
+                continue
+            length = np.bincount(np.cumsum(begin)[inside] - 1, minlength=len(start))
+            end, last = start + length, len(symbol) - 1
+            left, right = np.maximum(start - 1, 0), np.minimum(end, last)
+            beside_left, beside_right = (start > 0) & (part[left] == part[start]), (end <= last) & (part[right] == part[start])
+            chosen = (length > 1) & (rank[start] == least[start])
+            for piece in run.reached:
+                new = np.full(len(start), piece)
+                chosen &= ~(beside_left & (self._pairs(symbol[left], new)[0] != _NO_RANK))
+                chosen &= ~(beside_right & (self._pairs(new, symbol[right])[0] != _NO_RANK))
+            start, length = start[chosen], length[chosen]
+            if not len(start):
+                continue
+            keep = np.ones(len(symbol), bool) if keep is None else keep
+            for n in np.unique(length).tolist():
+                at, made = run.filled(n)
+                own = start[length == n]
+                stays = np.zeros(n, bool)
+                stays[at] = True
+                keep[(own[:, None] + np.flatnonzero(~stays)).ravel()] = False
+                symbol[(own[:, None] + at).ravel()] = np.tile(made, len(own))
+                rank[(own[:, None] + np.arange(n)).ravel()] = _NO_RANK
+        return keep
+
     def merge(self, words: list[str]) -> list[bytes]:
         """Ids of each word, packed as little-endian unsigned 32-bit integers."""
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -170,12 +288,16 @@ class Codec:
             run = np.flatnonzero(np.diff(hit, prepend=-2) != 1)
             step = np.arange(len(hit)) - np.repeat(run, np.diff(run, append=len(hit)))
             hit = hit[step % 2 == 0]
-            lone = self.alone[made[hit]]
-            if lone.any():  # in a segment with such a pair only the leftmost hit is merged
-                owner = part[hit]
-                first = np.diff(owner, prepend=-1) != 0
-                group = np.cumsum(first) - 1
-                hit = hit[first | ~np.bincount(group, lone).astype(bool)[group]]
+            rough = self._rough(hit, symbol, part, rank, made)
+            if rough.any():
+                keep = self._even_runs(symbol, part, rank, np.repeat(least, size))
+                if keep is not None:
+                    symbol, part, place, rank, made = (x[keep] for x in (symbol, part, place, rank, made))
+                    continue
+                # Of a segment, the hits up to the first one that makes a pair as good.
+                first = np.diff(part[hit], prepend=-1) != 0
+                before = np.cumsum(rough) - rough
+                hit = hit[before == before[first][np.cumsum(first) - 1]]
             symbol[hit] = made[hit]
             keep = np.ones(len(symbol), bool)
             keep[hit + 1] = False

@@ -3,9 +3,10 @@
 Listed are rules (host and path prefix, each with its own verdict) and canonical addresses to block.
 Both are keys of one filter: blocks of four 64-bit words, two bits per word and key, as a table of
 ``(block, w0..w3)`` built with a map-side ``bit_or``. A page probes the keys it could match: every
-parent domain with every path length that a rule has, and its own canonical address. Only possible
+parent domain of a rule's number of labels with every path length that a rule has, and its own canonical address. Only possible
 hits go on to the join on the key itself, which removes false positives. The filter and the list
-are broadcast while their counted size is within ``BROADCAST_BYTES``; else both joins shuffle.
+are broadcast while their counted size (for the list the real lengths of its keys) is within ``BROADCAST_BYTES``; else
+both joins shuffle. Hosts and paths may be of any length; other columns of the input aren't read.
 
 The verdict is that of the longest fitting rule (of equal length, the longer host), else ``block`` for
 a listed canonical address, else ``allow``. A canonical address is the lower-cased host and the
@@ -17,12 +18,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.common import query, table
+from ledgerloom.llm.common import query, stored, table
 
 BITS_PER_KEY = 24
 BLOCK_BITS = 256
 BROADCAST_BYTES = 8 << 20
-BLOCK_BYTES, KEY_BYTES = 48, 256
+# What a row needs beside its key.
+BLOCK_BYTES, KEY_BYTES = 48, 96
 RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -97,8 +99,9 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:
         F.concat(F.lit("u:"), "canonical").alias("key"), F.lit(None).cast("string").alias("rule"),
         F.lit("block").alias("verdict"), F.lit(0).alias("host_length"),
     ).distinct()
-    keys = rule_keys.unionByName(url_keys)
-    count = keys.count()
+    # Written once: counted, made into the filter and joined.
+    keys = stored(rule_keys.unionByName(url_keys), "url-keys")
+    count, size = keys.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("key") + KEY_BYTES), F.lit(0))).first()
     blocks = blocks_for(count)
     # One row per distinct length of a rule's path: no more than the longest path has characters.
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect() if r[0] is not None)
@@ -107,10 +110,12 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:
         pages.select("page_id", "url").groupBy("page_id", "url").agg(F.count("*").alias("times"))
         .withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
     )
-    labels = F.split("host", r"\.")
-    domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+    # Of a host only the suffixes that have as many labels as a rule's host, few numbers each.
+    sizes = sorted(r[0] for r in rules.select(F.size(F.split("host", r"\."))).distinct().collect() if r[0] > 0)
+    labels = F.size(F.split("host", r"\."))
+    domains = F.filter(
+        F.array(*[F.when(labels >= k, F.substring_index("host", ".", -k)) for k in sizes]), lambda x: x.isNotNull(),
+    ) if sizes else F.array().cast("array<string>")
     starts = F.filter(
         F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]),
         lambda x: x.isNotNull(),
@@ -119,7 +124,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:
     own = F.array(F.concat(F.lit("u:"), canonical(F.col("host"), F.col("path"))))
     probes = rows.where("host != ''").select("page_id", "url", F.explode(F.concat(tried, own)).alias("key"))
     hits = possible(probes, bloom(keys, blocks), blocks)
-    exact = keys if count * KEY_BYTES > BROADCAST_BYTES else F.broadcast(keys)
+    exact = keys if size > BROADCAST_BYTES else F.broadcast(keys)
     found = hits.join(exact, "key").select("page_id", "url", "rule", "verdict", "host_length")
     absent = [F.lit(None).cast(t).alias(n) for n, t in (("rule", "string"), ("verdict", "string"), ("host_length", "int"))]
     best = rows.select("*", *absent).unionByName(found, allowMissingColumns=True).groupBy("page_id", "url").agg(

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
+
+import pytest
 
 import oracle
 from pyspark.sql import functions as F
@@ -63,3 +66,19 @@ def test_plan_has_no_python(spark, small_folder, capsys):
     QUERIES["op5_chat_format"](spark, small_folder).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowEval", "")
+
+
+@pytest.mark.parametrize("text", ["[/INST]" + "<s>" * 330_000, "<s>" * 330_000, "[INST]" * 160_000 + "[/INST]", "</s>" * 250_000])
+def test_a_megabyte_of_control_strings_takes_seconds(spark, text):
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "user", "end")],
+                                 "conv_id bigint, turn bigint, role string, text string").cache()
+    rows.count()
+    began = time.perf_counter()
+    said = cf.format_conversations(rows).select(cf.parse(F.col("formatted")).alias("turns")).first()
+    assert time.perf_counter() - began < 30
+    assert [(t.role, t.text) for t in said.turns] == [("user", text), ("assistant", text), ("user", "end")]
+
+
+def test_other_columns_are_left_alone(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "x", "f", 1)], "conv_id bigint, turn bigint, role string, text string, formatted string, level int")
+    assert cf.format_conversations(rows).columns == ["conv_id", "formatted", "level", "loss_spans"]

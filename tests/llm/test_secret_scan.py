@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import public_tokenizers
 import pytest
@@ -132,3 +133,19 @@ def test_query_equals_brute_force(spark, small_folder):
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == n for k, _, _ in base) for n in ("assign", "access", "hex"))
         assert [s for s in r.spans.split(",") if s and not s.startswith("random")] == [s for s in listed.split(",") if s]
+
+
+def test_stamps_are_what_the_plain_pattern_finds():
+    plain = re.compile(r"(?<![A-Za-z0-9])[0-9]++(?:[-_/T=][0-9]++){2,}+Z?(?![A-Za-z0-9])")
+    rng = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(rng.choice("01-_/T=Zaé") for _ in range(rng.randint(1, 12)))
+        assert ss.stamps(text) == [m.span() for m in plain.finditer(text)]
+
+
+@pytest.mark.parametrize("text", ["token=" + "1-" * 500_000 + "1x", "1-1" * 300_000, "a1-" * 300_000, "A" * 1_000_000, "secret " * 150_000])
+def test_a_megabyte_of_hard_text_takes_seconds(text):
+    vocabulary = ss.encoding(public_tokenizers.path(ss.VOCABULARY))
+    began = time.perf_counter()
+    ss.spans(text, vocabulary)
+    assert time.perf_counter() - began < 20

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -71,3 +72,24 @@ def test_query_equals_the_library(spark, small_folder, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("text", [
+    " " * 1_000_000, "the" * 300_000, "a" * 1_000_000, "ab" * 400_000, "=-" * 300_000, "-" * 500_000,
+    "x" + " " * 500_001 + "the" + " " * 17, "\n" * 300_000, "日本語" * 100_000,
+], ids=lambda t: repr(t[:3]))
+def test_a_megabyte_of_one_word_takes_seconds(library, own, text):
+    began = time.perf_counter()
+    packed = own.encode([text])
+    took = time.perf_counter() - began
+    assert np.frombuffer(packed[0], "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True)
+    assert took < 20
+    assert own.decode(packed) == [library.decode(np.frombuffer(packed[0], "<u4").tolist())]
+
+
+def test_runs_of_any_length_are_the_library_s(library, own):
+    given = [before + c * n + after for c in " -=*#.a\n" for n in range(1, 70) for before, after in (("", ""), ("x", "y"), ("the", "  the"), (" ", "="))]
+    own.words.clear()
+    told = library.encode(given, add_bos=True, add_eos=True)
+    assert [np.frombuffer(p, "<u4").tolist() for p in own.encode(given)] == told
+

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import oracle
 from ledgerloom.llm import url_filter as uf
 from ledgerloom.llm.common import ORACLES, QUERIES
@@ -74,3 +76,20 @@ def test_plan_has_no_python_and_no_product(spark, small_folder, capsys):
     QUERIES["op2_url_filter"](spark, small_folder).explain()
     plan = capsys.readouterr().out
     assert not [x for x in ("Python", "Arrow", "Cartesian", "NestedLoop") if x in plan]
+
+
+def test_hosts_of_many_labels_take_seconds(spark):
+    urls = ["http://" + "a." * 300_000 + "example.org/en/1", "http://" + "." * 500_000, "http://org" + "/x" * 300_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rules = spark.createDataFrame(uf.RULES, "host string, path string, verdict string")
+    began = time.perf_counter()
+    got = {r.page_id: (r.rule, r.verdict) for r in uf.judge(pages, rules, uf.recrawled(pages)).collect()}
+    assert time.perf_counter() - began < 60
+    assert got == {i: plain(u)[2:] if plain(u)[2] else (None, "allow") for i, u in enumerate(urls)}
+
+
+def test_other_columns_are_left_alone(spark):
+    pages = spark.createDataFrame([(1, "http://org/", "h", "p", "r")], "page_id bigint, url string, host string, key string, rule string")
+    rules = spark.createDataFrame(uf.RULES, "host string, path string, verdict string")
+    row = uf.judge(pages, rules, uf.recrawled(pages)).first()
+    assert (row.host, row.path, row.rule, row.verdict) == ("org", "/", "org/", "allow")
