@@ -66,6 +66,10 @@ def _before(counts: DataFrame, keys: list[str], within: list[str], by: str, name
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS, seed: int = 0) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``."""
     made = ["size", "source_size", "target", "copies", "taken"]
+    # Working columns begin with an underscore; such columns of the input are put by.
+    held = {c: f"_held{c}" for c in docs.columns if c.startswith("_")}
+    docs = docs.select(*[F.col(f"`{c}`").alias(held.get(c, c)) for c in docs.columns])
+    named = {put: c for c, put in held.items()}
     rows = docs.drop(*made).withColumns({
         "_source": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")),
         "_size": word_count(F.col("text")),
@@ -107,7 +111,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS, seed: int =
         .withColumn("_k", F.col("_start") + F.col("_place"))
         .withColumn("copies", (F.col("_whole") + step(F.col("_k")) - step(F.col("_k") - 1)).cast("long"))
         .withColumn("size", F.col("_size")).withColumn("taken", F.col("copies") * F.col("size"))
-        .select(*[c for c in docs.columns if c not in made], *made)
+        .select(*[F.col(f"`{c}`").alias(named.get(c, c)) for c in docs.columns if c not in made], *made)
     )
 
 

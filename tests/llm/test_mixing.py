@@ -99,3 +99,13 @@ def test_null_empty_ties_and_extra_columns(spark):
 def test_plan_has_no_python(spark, small_folder, capsys):
     QUERIES["op8_mixing"](spark, small_folder).explain()
     assert "Python" not in (plan := capsys.readouterr().out) and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_columns_named_like_working_ones_survive(spark):
+    docs = spark.createDataFrame([(1, "a", "x y", "p", 7, "q", "r"), (2, None, "z", "s", 8, "t", "u")],
+                                 "doc_id bigint, source string, text string, _size string, _k int, _held_k string, _doc string")
+    told = {r.doc_id: (r._size, r._k, r._held_k, r._doc) for r in docs.collect()}
+    for made in (mixing.mix(docs), mixing.mixed(docs)):
+        assert made.columns[:7] == docs.columns
+        rows = made.collect()
+        assert rows and all((r._size, r._k, r._held_k, r._doc) == told[r.doc_id] for r in rows)
