@@ -13,6 +13,7 @@ from ledgerloom.plans import common
 from ledgerloom.plans.catalog import QUERIES
 from ledgerloom.plans.medallion import Layers
 from ledgerloom.session import cut, cut_by, new_folder
+from ledgerloom.streaming import delivery
 
 PLANNED = [
     "agg_01_store_quarter_totals", "agg_03_daily_revenue", "agg_04_revenue_summary",
@@ -65,14 +66,24 @@ def test_large_calendar_is_not_broadcast(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_announced_deliveries_alone_are_read(spark, tmp_path):
-    """The filter that a refresh makes of the announced ids prunes the landing table's folders."""
-    folder = str(tmp_path / "landed")
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_announced_deliveries_alone_are_read(spark, tmp_path, broadcast):
+    """The join with the announced ids prunes the landing table's folders, whether they can be broadcast or not."""
+    folder, ids = str(tmp_path / "landed"), str(tmp_path / "ids")
     spark.range(40).selectExpr("id", "CAST(id % 8 AS STRING) AS delivery_id").write.partitionBy(
         "delivery_id").parquet(folder)
+    spark.createDataFrame([("3",), ("5",), ("",), (None,)], "delivery_id string").write.parquet(ids)
     landed = spark.read.schema("id bigint, delivery_id string").parquet(folder)
-    text = plan(landed.filter(landed.delivery_id.isin(["3", "5"])))
-    assert "PartitionFilters: [delivery_id" in text.replace("isnotnull(", "") and "INSET" in text.upper() or " IN (3,5)" in text
+    told = spark.read.schema("delivery_id string").parquet(ids)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        spark.conf.set(delivery.PRUNE, "false")
+        rows = delivery.announced_rows(landed, told)
+        assert "dynamicpruning" in plan(rows, "simple")
+        assert {r.delivery_id for r in rows.collect()} == {"3", "5"} and rows.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset(delivery.PRUNE)
 
 
 def test_a_level_of_the_walk_moves_its_frontier_alone(spark):
