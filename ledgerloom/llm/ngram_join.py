@@ -270,29 +270,41 @@ def bodies(docs: DataFrame, like: Likeness, asked: DataFrame) -> DataFrame:
 # --- candidates ------------------------------------------------------------------------------------
 
 
-def led(rows: DataFrame, like: Likeness) -> DataFrame:
+def led(shared: DataFrame, profile: DataFrame, like: Likeness) -> DataFrame:
     """``u, v``: each member of a key with the leader of its key and size class, the one with the smallest digest."""
     step = np.log(like.whole / like.part)
-    classed = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step))))
-    leader = classed.groupBy("token", "class").agg(F.min(F.struct("node", "n", "at", "profile")).alias("l"))
-    met = classed.join(leader, ["token", "class"]).where("node != l.node").select(
-        "node", "n", "at", "profile", "l.node", "l.n", "l.at", "l.profile").toDF("u", "n", "at", "p", "v", "m", "to", "q")
+    classed = shared.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step))))
+    leader = classed.groupBy("token", "class").agg(F.min(F.struct("node", "n", "at")).alias("l"))
+    n, at, m, to = (F.col(c).cast("bigint") for c in ("n", "at", "l.n", "l.at"))
+    room = (like.whole * F.least(n, m) >= like.part * F.greatest(n, m)) & (
+        (like.whole + like.part) * F.least(n - at, m - to) >= like.part * (n + m))
+    met = classed.join(leader, ["token", "class"]).where((F.col("node") != F.col("l.node")) & room).select(
+        F.col("node").alias("u"), F.col("l.node").alias("v")).distinct()
+    return agreed(met, profile, like)
+
+
+def agreed(pairs: DataFrame, profile: DataFrame, like: Likeness) -> DataFrame:
+    """Those of ``u, v`` whose profiles leave room. ``profile``: ``node, n, profile``."""
+    one, other = profile.toDF("u", "n", "p"), profile.toDF("v", "m", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, at, m, to = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "at", "m", "to"))
-            fits = np.flatnonzero(like.room(n, at, m, to))
-            one, other = (_profile_rows(batch.column(c).take(pa.array(fits))) for c in "pq")
-            fits = fits[like.agree(n[fits], one, m[fits], other)]
-            yield batch.select(["u", "v"]).take(pa.array(fits))
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+            fits = like.agree(n, _profile_rows(batch.column("p")), m, _profile_rows(batch.column("q")))
+            yield batch.select(["u", "v"]).filter(pa.array(fits))
 
-    return met.mapInArrow(run, "u bigint, v bigint").distinct()
+    return pairs.join(one, "u").join(other, "v").select("u", "v", "n", "m", "p", "q").mapInArrow(run, "u bigint, v bigint")
 
 
 def blocked(rows: DataFrame) -> DataFrame:
-    """Rows with ``x, y, own``: a key of many sets is dealt out in pairs of blocks; ``own`` is a row's own block."""
-    size = rows.groupBy("token").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    return rows.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
+    """Rows with ``x, y, own``: a key of many sets is dealt out in pairs of blocks; ``own`` is a row's own block.
+
+    Few keys have more than one block, so that the rows needn't move to learn it.
+    """
+    many = rows.groupBy("token").agg(F.count("*").alias("sets")).where(F.col("sets") > BLOCK)
+    many = many.select("token", F.ceil(F.col("sets") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    sized = rows.join(many, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    return sized.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "root", "node", "n", "at", "profile")
 
@@ -386,10 +398,11 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
     """``node, root`` for every set that is alike to another one. ``first``: ``u, v`` to be verified beside the leaders."""
     held = docs.sparkSession.sparkContext.broadcast(weights)
     nodes = scratch.stored(
-        log.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("profile").alias("profile")), "nodes")
+        log.where("n > 0").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("profile").alias("profile")), "nodes")
     shared = scratch.stored(shared_keys(prefixes(docs, like, held)), "shared")
     rows = scratch.stored(shared.join(nodes.select("node", "profile"), "node").select("token", "node", "n", "at", "profile"), "rows")
-    pairs = led(rows, like)
+    pairs = led(shared, nodes.select("node", "n", "profile"), like)
     if first is not None:
         pairs = pairs.unionByName(first).distinct()
     tried = scratch.stored(pairs, "pairs")
@@ -407,7 +420,8 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
         open_ = scratch.stored(seen.where((F.col("least") != F.col("most")) & (F.col("size") > low + 1)).select("token"), "open")
         if not open_.take(1):
             return roots
-        rows = scratch.stored(named.join(open_, "token", "left_semi"), "rows")
+        # Most keys are open at first, few later on; sets of one component don't meet in any case.
+        rows = scratch.stored(named.join(open_, "token", "left_semi"), "rows") if low else named
         pairs = scratch.stored(distant(blocked(rows), like, low, high).join(tried, ["u", "v"], "left_anti"), "pairs")
         low, high, named = high, high * GROWTH, rows
         if pairs.take(1):
