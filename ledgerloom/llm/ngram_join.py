@@ -33,7 +33,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.common import Scratch, query, stored, table, utf8_values
+from ledgerloom.llm.common import TASK_ROWS, Scratch, few, query, stored, table, utf8_values
 from ledgerloom.llm.simhash_dedup import components
 
 SLOTS = 1 << 22
@@ -41,7 +41,10 @@ RANGES = 64
 CHUNK = 1000
 BLOCK = 4096
 NEAREST, GROWTH = 16, 1024
+# A whole set and a row with its profile count as so many short rows.
+SET_ROWS, PROFILE_ROWS = 16, 4
 _SLOT_BLOCK = 1 << 12
+_SLOT_TASKS = 32
 _FEED = 1 << 17
 _ID_BITS = 1 << 24
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -176,7 +179,7 @@ def rarity(scan: DataFrame) -> np.ndarray:
 
     sums = scan.where("block IS NOT NULL").select("block", "counts").repartition("block").sortWithinPartitions("block")
     weights = np.zeros((SLOTS // _SLOT_BLOCK, _SLOT_BLOCK), np.uint8)
-    for row in sums.mapInArrow(run, "block int, weight binary").collect():
+    for row in few(sums.mapInArrow(run, "block int, weight binary"), _SLOT_TASKS * TASK_ROWS).collect():
         weights[row["block"]] = np.frombuffer(row["weight"], np.uint8)
     return weights.ravel()
 
@@ -364,10 +367,11 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness
 
     Only sets of candidates are made again from their texts and written down.
     """
+    many = pairs.count()
     asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    asked = scratch.stored(nodes.select("node", "doc_id").join(asked, "node", "left_semi"), "asked")
-    sets = scratch.stored(bodies(docs, like, asked), "sets")
-    size = scratch.stored(pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks")), "leaders")
+    asked = scratch.stored(few(nodes.select("node", "doc_id").join(asked, "node", "left_semi"), 2 * many), "asked")
+    sets = scratch.stored(few(bodies(docs, like, asked), SET_ROWS * 2 * many), "sets")
+    size = scratch.stored(few(pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks")), many), "leaders")
     leader = size.join(sets, size["v"] == sets["node"]).select(
         "v", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("bigint").alias("u"), "body")
     # Written down: joins of plain exchanges are those whose hot keys adaptive execution splits.
@@ -387,7 +391,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     together = leader.unionByName(member).repartition("v", "chunk").sortWithinPartitions("v", "chunk", F.asc_nulls_first("u"))
-    return together.mapInArrow(run, "u bigint, v bigint")
+    return few(together.mapInArrow(run, "u bigint, v bigint"), SET_ROWS * 2 * many)
 
 
 # --- the join --------------------------------------------------------------------------------------
@@ -397,12 +401,14 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
            first: DataFrame | None = None) -> DataFrame:
     """``node, root`` for every set that is alike to another one. ``first``: ``u, v`` to be verified beside the leaders."""
     held = docs.sparkSession.sparkContext.broadcast(weights)
-    nodes = scratch.stored(
+    nodes = scratch.stored(few(
         log.where("n > 0").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("profile").alias("profile")), "nodes")
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("profile").alias("profile")), log.count()), "nodes")
     shared = scratch.stored(shared_keys(prefixes(docs, like, held)), "shared")
-    rows = scratch.stored(shared.join(nodes.select("node", "profile"), "node").select("token", "node", "n", "at", "profile"), "rows")
-    pairs = led(shared, nodes.select("node", "n", "profile"), like)
+    size = PROFILE_ROWS * shared.count()
+    rows = shared.join(nodes.select("node", "profile"), "node").select("token", "node", "n", "at", "profile")
+    rows = scratch.stored(few(rows, size), "rows")
+    pairs = few(led(shared, nodes.select("node", "n", "profile"), like), size)
     if first is not None:
         pairs = pairs.unionByName(first).distinct()
     tried = scratch.stored(pairs, "pairs")
@@ -410,14 +416,15 @@ def linked(docs: DataFrame, log: DataFrame, weights: np.ndarray, like: Likeness,
     low, high, roots = 0, NEAREST, None
     while True:
         if roots is None:
-            roots = scratch.stored(components(links, scratch.stored), "roots")
+            roots = scratch.stored(components(links, scratch.stored, written=True), "roots")
             named = scratch.stored(
                 rows.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
         # Open: several components, and members farther apart than was looked at. A pair of blocks has some
         # 2 * BLOCK sets, and never twice as many.
         seen = named.groupBy("token").agg(
             F.min("root").alias("least"), F.max("root").alias("most"), F.least(F.count("*"), F.lit(4 * BLOCK)).alias("size"))
-        open_ = scratch.stored(seen.where((F.col("least") != F.col("most")) & (F.col("size") > low + 1)).select("token"), "open")
+        open_ = scratch.stored(few(
+            seen.where((F.col("least") != F.col("most")) & (F.col("size") > low + 1)).select("token"), named.count()), "open")
         if not open_.take(1):
             return roots
         # Most keys are open at first, few later on; sets of one component don't meet in any case.
@@ -443,13 +450,16 @@ def near_duplicates(
     scan = scratch.stored(scanned(docs, like), "scan")
     log = scan.where("block IS NULL").select("doc_id", "node", "n", "profile")
     roots = linked(docs, log, rarity(scan), like, scratch, first and first(log.where("n > 0").select("doc_id", "node")))
-    least = scratch.stored(log.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "least")
-    rooted = scratch.stored(least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
-    named = scratch.stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    named = scratch.stored(rooted.join(named, "root").select("node", "component_id"), "classes")
+    count = log.count()
+    least = scratch.stored(few(log.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), count), "least")
+    rooted = least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    rooted = scratch.stored(few(rooted, count), "rooted")
+    named = scratch.stored(few(rooted.groupBy("root").agg(F.min("least").alias("component_id")), count), "components")
+    named = scratch.stored(few(rooted.join(named, "root").select("node", "component_id"), count), "classes")
     told = log.where("n > 0").join(named, "node").select("doc_id", "n", "component_id")
     alone = log.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    result = stored(told.unionByName(alone).select("doc_id", F.col("n").cast("long").alias("n_grams"), "component_id"), "ngram-joined")
+    result = told.unionByName(alone).select("doc_id", F.col("n").cast("long").alias("n_grams"), "component_id")
+    result = stored(few(result, count), "ngram-joined")
     scratch.drop()
     return result
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.common import batches_with, query, stored, table
+from ledgerloom.llm.common import batches_with, few, query, stored, table
 
 SEED = 42
 BITS = 64
@@ -273,28 +273,38 @@ def bucket_links(buckets: DataFrame, most: int) -> DataFrame:
 # --- components ------------------------------------------------------------------------------------
 
 
-def components(links: DataFrame, stored=stored) -> DataFrame:
-    """``node, root`` for every node of the undirected ``u, v``: the smallest node it reaches."""
-    edges = stored(links.distinct(), "components-edges")
-    seen = None
+def components(links: DataFrame, stored=stored, written: bool = False) -> DataFrame:
+    """``node, root`` for every node of the undirected ``u, v``: the smallest node it reaches.
+
+    Rounds end as soon as the links are stars: no round is needed to see that nothing changes any more.
+    ``written``: the links are a table already, and distinct.
+    """
+    edges = links if written else stored(links.distinct(), "components-edges")
     while True:
+        # No round has more links than the one before but for a node's link to the smallest it sees.
+        size = 2 * edges.count()
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written down: a join of plain exchanges is one whose hot node adaptive execution splits.
-        low = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "components-low")
-        large = stored(
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct(),
+        low = stored(few(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), size), "components-low")
+        large = stored(few(
+            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct(), size),
             "components-large",
         )
         # Every pair now points from the larger node to the smaller.
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
+        low = stored(few(large.groupBy("u").agg(F.min("v").alias("m")), size), "components-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        edges = stored(
-            small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "components-edges"
-        )
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == seen:
+        edges = stored(few(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), size), "components-edges")
+        if stars(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
+
+
+def stars(edges: DataFrame) -> bool:
+    """Whether no ``u`` has several ``v`` or is a ``v`` itself. Rounds keep what is connected, so a star is a whole component."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return seen.agg(F.count_if(F.expr("out > 1 OR (out = 1 AND `in` = 1)"))).first()[0] == 0
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, most: int = 4, hot: int = HOT_BUCKET, stored=stored) -> DataFrame:
@@ -304,14 +314,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, most: int = 4, hot: int = H
     """
     log = stored(fingerprints(docs.select("doc_id", "text"), width).select("doc_id", "fp"), "simhash-log")
     prints = stored(log.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    links = bucket_links(bucketed(prints.select("fp"), prints.count(), most, hot, stored), most)
+    count = prints.count()
+    links = bucket_links(bucketed(prints.select("fp"), count, most, hot, stored), most)
     roots = components(links, stored).select(F.col("node").alias("fp"), "root")
     rooted = stored(
-        prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")),
+        few(prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), count),
         "simhash-rooted",
     )
-    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    named = stored(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
+    least = stored(few(rooted.groupBy("root").agg(F.min("least").alias("component_id")), count), "simhash-least")
+    named = stored(few(rooted.join(least, "root").select("fp", "component_id"), count), "simhash-components")
     return log.join(named, "fp").select("doc_id", "fp", "component_id")
 
 

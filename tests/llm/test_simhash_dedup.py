@@ -111,3 +111,16 @@ def test_null_empty_short_and_repeated_texts(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "7", "8", "8", "None"]
     assert sd.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_need_no_round_to_see_stars(spark):
+    names = []
+
+    def stored(frame, name):
+        names.append(name)
+        return sd.stored(frame, name)
+
+    links = spark.createDataFrame([(k, 1) for k in range(2, 9)] + [(12, 11), (13, 12)], "u bigint, v bigint")
+    roots = {r.node: r.root for r in sd.components(links, stored).collect()}
+    assert roots == {**{k: 1 for k in range(2, 9)}, 12: 11, 13: 11}
+    assert names.count("components-large") == 1
