@@ -35,10 +35,11 @@ def read_envelopes(records: DataFrame) -> DataFrame:
     A tombstone has no value. Broken is what does not parse, or lacks its key, log position, a
     known operation, or the row of a change that is no delete; ``value`` keeps its text.
     """
-    parsed = records.withColumns({
-        "_v": parse_json(F.col("value"), _wrapped(CHANGE_ENVELOPE)),
-        "_k": parse_json(F.col("key"), _wrapped(CHANGE_KEY)),
-    })
+    # Generated and not projected: a filter on what was parsed would else be pushed below, and parse once per mention.
+    parsed = records.select("*", F.inline(F.array(F.struct(
+        parse_json(F.col("value"), _wrapped(CHANGE_ENVELOPE)).alias("_v"),
+        parse_json(F.col("key"), _wrapped(CHANGE_KEY)).alias("_k"),
+    ))))
     value, key = F.col("_v"), F.col("_k")
     flat = parsed.select(
         *ORIGIN, "value",

@@ -180,3 +180,12 @@ def test_keyed_state_of_a_stream_without_records(spark):
     spark.createDataFrame([], "value string").write.text(landed)
     state = cdc_stream.run_keyed_state(cdc_stream.envelope_source(spark, landed), check)
     assert state.count() == 0 and state.columns == ["key", "lsn", "ts", "op", "value", "event_type", "k"]
+
+
+def test_a_record_is_parsed_once_whatever_reads_it(spark):
+    records = spark.range(3).selectExpr(
+        "'t' AS topic", "0 AS topic_partition", "id AS topic_offset", "CAST(id AS STRING) AS key",
+        """concat('{"op": "d", "source": {"lsn": ', id, '}}') AS value""")
+    flat = cdc.unwrap(cdc.read_envelopes(records))
+    assert flat._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+    assert sorted((r.key, r.lsn, r.op) for r in flat.collect()) == [(0, 0, "d"), (1, 1, "d"), (2, 2, "d")]
