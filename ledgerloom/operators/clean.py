@@ -44,14 +44,34 @@ def flag(rows: DataFrame, **flags: Column) -> DataFrame:
     return rows.withColumns({n: F.coalesce(c, F.lit(False)) for n, c in flags.items()})
 
 
+# Whole rows that a task holds side by side when it looks for copies; larger tables of them miss the caches and spill.
+ROWS_SIDE_BY_SIDE = 100_000
+# Kinds that a grouping may not take as they are: a dealing by them would not be the grouping's.
+NORMALISED = ("float", "double", "array", "map", "struct", "variant")
+
+
+def dealt_out(rows: DataFrame, identity: Sequence[str], n_rows: int) -> DataFrame:
+    """Rows in pieces of bounded size, all copies of an identity in one piece."""
+    kinds = dict(rows.dtypes)
+    keys = [c for c in identity if not kinds[c].startswith(NORMALISED)]
+    return rows.repartition(max(-(-n_rows // ROWS_SIDE_BY_SIDE), 1), *keys) if keys else rows
+
+
 def latest_delivery(
-    rows: DataFrame, identity: Sequence[str], version: str, tiebreak: Sequence[str] = ()
+    rows: DataFrame, identity: Sequence[str], version: str, tiebreak: Sequence[str] = (),
+    n_rows: int | None = None,
 ) -> DataFrame:
     """One row per identity, from its latest delivery.
 
     An aggregate and not ``row_number``: copies combine before the shuffle, so an identity that
     holds a large share of the rows never sits in one task.
+
+    Where most rows have no copy, combining them first only fills a table of all rows of a file. With
+    ``n_rows``, their number, they are dealt out by identity before; the pieces grow in number and not in size.
+    Copies of one row then travel one by one, and their task keeps one of them.
     """
+    if n_rows is not None:
+        rows = dealt_out(rows, identity, n_rows)
     others = [c for c in rows.columns if c not in identity and c != version]
     if not others:
         return rows.groupBy(*identity).agg(F.max(version).alias(version))

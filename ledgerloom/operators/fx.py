@@ -37,10 +37,14 @@ def carry_forward(
 
 
 class Calendar(NamedTuple):
-    """Rates for every day up to ``last``; ``last`` is None when there are no quotes."""
+    """Rates for every day up to ``last``; ``last`` is None when there are no quotes.
+
+    Lines stay where they are when they meet the rates of a calendar that is sent to them.
+    """
 
     rates: DataFrame
     last: datetime.date | None
+    is_sent: bool = False
 
 
 def calendar(quotes: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Calendar:
@@ -65,9 +69,8 @@ def calendar(quotes: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Calenda
             "currency", "rate", "day AS rate_day", "explode(sequence(day, _until)) AS _on"
         )
     )
-    if last and seen["currencies"] * ((last - seen["first"]).days + 1) <= broadcast_rows:
-        rates = F.broadcast(rates)
-    return Calendar(rates, last)
+    is_sent = bool(last) and seen["currencies"] * ((last - seen["first"]).days + 1) <= broadcast_rows
+    return Calendar(F.broadcast(rates) if is_sent else rates, last, is_sent)
 
 
 def with_rate(lines: DataFrame, rates: Calendar, day: str = "order_date") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
+from ledgerloom.functions import fiscal
 from ledgerloom.functions.text import utc_instant
 from ledgerloom.operators import cdc, clean, fx, geography, identity, metadata, star, upkeep
 from ledgerloom.plans import common, sql
@@ -30,8 +31,10 @@ class Layers:
         self.folder = folder
         self.written: dict[str, DataFrame] = {}
 
-    def write(self, name: str, frame: DataFrame, partition_by: str | None = None) -> None:
-        path = sinks.write_table(frame, f"{self.folder}/{name}", partition_by)
+    def write(
+        self, name: str, frame: DataFrame, partition_by: str | None = None, dealt: bool = False
+    ) -> None:
+        path = sinks.write_table(frame, f"{self.folder}/{name}", partition_by, dealt=dealt)
         self.written[name] = landing.read_master(self.spark, path, frame.schema)
 
     def read(self, name: str) -> DataFrame:
@@ -56,7 +59,8 @@ class Layers:
             self.read("bronze/store_customers"), self.read("bronze/country_aliases")))
         self.write("silver/countries", geography.dim_country(self.read("bronze/country_aliases")))
         customers = self.read("silver/customers")
-        items = clean.latest_delivery(self.read("bronze/line_items"), LINE_ITEM, "delivery_no")
+        landed = self.read("bronze/line_items")
+        items = clean.latest_delivery(landed, LINE_ITEM, "delivery_no", n_rows=landed.count())
         purchases = landing.explode_lines(self.read("bronze/web_orders")).select(
             "event_id", utc_instant(F.col("placed_at")).alias("ts"), "user_id", "k", "amount"
         )
@@ -65,8 +69,12 @@ class Layers:
             fixtures.web_sales(None, purchases, customers),
         )
         rates = fx.calendar(self.read("bronze/fx_quotes"))
+        if rates.is_sent:
+            # The lines double in width from here on and stay in place, so they are dealt out for the writer now.
+            years = lines.withColumn("fiscal_year", fiscal.fiscal_year(F.col("order_date")))
+            lines = years.hint("rebalance", "fiscal_year")
         enriched = star.enrich(lines, self.read("bronze/products"), rates)
-        self.write("silver/sale_lines", star.with_fiscal(enriched), partition_by="fiscal_year")
+        self.write("silver/sale_lines", star.with_fiscal(enriched), "fiscal_year", dealt=rates.is_sent)
         people = identity.resolve(
             self.read("bronze/store_customers"), self.read("bronze/web_accounts"),
             "cust_id", "user_id",

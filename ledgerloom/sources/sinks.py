@@ -24,10 +24,13 @@ def write_snapshot(snapshot: DataFrame, folder: str) -> str:
 
 
 def write_table(
-    frame: DataFrame, folder: str, partition_by: str | None = None, fmt: str = "parquet"
+    frame: DataFrame, folder: str, partition_by: str | None = None, fmt: str = "parquet", dealt: bool = False
 ) -> str:
-    """A medallion table. ``rebalance`` lets AQE split a hot partition value over several files."""
-    if partition_by:
+    """A medallion table. ``rebalance`` lets AQE split a hot partition value over several files.
+
+    ``dealt`` says that the rows were rebalanced by that value already, when they were narrower.
+    """
+    if partition_by and not dealt:
         frame = frame.hint("rebalance", partition_by)
     writer = frame.write.mode("overwrite").format(fmt)
     if partition_by:

@@ -66,6 +66,24 @@ def test_latest_delivery_picks_version_then_tiebreak(spark):
     assert [tuple(r) for r in got] == [(1, 2, "b", 3), (2, 1, None, None)]
 
 
+def test_dealt_out_rows_lose_their_copies_and_no_other(spark, monkeypatch):
+    """Copies, keys without value, numbers that are equal and written differently; in many pieces and in one."""
+    monkeypatch.setattr(clean, "ROWS_SIDE_BY_SIDE", 3)
+    nan = float("nan")
+    seen = [(1, "a", 0.0, 1), (1, "a", -0.0, 2), (1, "a", 0.5, 1), (None, "b", nan, 1), (None, "b", nan, 1),
+            (None, None, None, 1), (None, None, None, 2)] + [(7, "x", 1.0, 1)] * 50 + [(i, "y", 1.0, 1) for i in range(40)]
+    frame = spark.createDataFrame(seen, "id long, name string, price double, version int")
+    rows = lambda f: sorted(str(tuple(r)).replace("-0.0", "0.0") for r in f.collect())
+    plain = rows(clean.latest_delivery(frame, ["id", "name", "price"], "version"))
+    assert len(plain) == 45
+    for keys in (["id", "name", "price"], ["price", "name", "id"]):
+        for n_rows in (0, 1, len(seen)):
+            got = clean.latest_delivery(frame, keys, "version", n_rows=n_rows).select("id", "name", "price", "version")
+            assert rows(got) == plain
+    assert rows(clean.latest_delivery(frame.select("price", "version"), ["price"], "version", n_rows=99)) == rows(
+        clean.latest_delivery(frame.select("price", "version"), ["price"], "version"))
+
+
 def test_flags_drop_nothing(spark):
     rows = spark.createDataFrame([(1,), (None,)], "a int")
     assert [r["odd"] for r in clean.flag(rows, odd=F.col("a") == 1).collect()] == [True, False]

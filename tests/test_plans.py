@@ -13,6 +13,7 @@ from ledgerloom.plans import common
 from ledgerloom.plans.catalog import QUERIES
 from ledgerloom.plans.medallion import Layers
 from ledgerloom.session import cut, cut_by, new_folder
+from ledgerloom.sources import sinks
 from ledgerloom.streaming import delivery
 
 PLANNED = [
@@ -109,6 +110,31 @@ def test_latest_rows_combine_before_the_shuffle(tables):
         assert "Window" not in text and "partial_max" in text
 
 
+def test_rows_with_few_copies_are_dealt_out_first(tables):
+    """Pieces grow in number with the rows; behind that one exchange nothing moves again."""
+    rows = fixtures.redelivered_lines(tables)
+    for n_rows, pieces in ((100_001, 2), (37_000_000, 370)):
+        frame = clean.latest_delivery(rows, tables.lineitem.columns, "delivery_no", n_rows=n_rows)
+        text = plan(frame, "simple")
+        assert text.count("Exchange") == 1 and f", {pieces}), REPARTITION_BY_NUM" in text
+        assert "partial_max" not in text[text.index("Exchange"):]
+
+
+def test_sale_lines_move_to_their_files_while_narrow(spark, tables, monkeypatch):
+    """Rates and labels double a line's width; the exchange by fiscal year lies below them."""
+    layers, written = Layers(tables, new_folder(spark, "t-narrow")), {}
+    save = sinks.write_table
+    monkeypatch.setattr(sinks, "write_table", lambda frame, folder, *args, **kwargs: (
+        written.__setitem__(folder.rpartition("/")[2], (frame, kwargs)), save(frame, folder, *args, **kwargs))[1])
+    layers.bronze()
+    layers.silver()
+    frame, kwargs = written["sale_lines"]
+    text = plan(frame, "simple")
+    moved = text.index("REBALANCE_PARTITIONS_BY_COL")
+    assert kwargs["dealt"] and text.count("REBALANCE_PARTITIONS_BY_COL") == 1
+    assert "rate_status" in text[:moved] and "rate_status" not in text[moved:]
+
+
 def test_layers_read_the_layer_below_alone(spark, tables):
     """Without the given tables, silver and gold still build; the fact join stands in silver once."""
     layers = Layers(tables, new_folder(spark, "t-layers"))
