@@ -7,7 +7,11 @@ many gold tables there are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom import fixtures, schemas
 from ledgerloom.fixtures import Tables
@@ -22,6 +26,17 @@ from ledgerloom.sources import landing, sinks
 LINE_ITEM = schemas.TABLES["lineitem"].names
 
 
+def side_by_side(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Steps that don't need each other, each from a thread: cores that the last tasks of one leave go to the next.
+
+    Returns when all have ended; the first that failed is raised. The costliest step comes first: Spark serves it first.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 class Layers:
     """Tables of one build below one folder."""
 
@@ -40,24 +55,46 @@ class Layers:
     def read(self, name: str) -> DataFrame:
         return self.written[name]
 
+    def write_all(self, tables: dict[str, Callable[[], DataFrame]]) -> None:
+        """Tables that are independent of each other, side by side."""
+
+        def step(name: str, make: Callable[[], DataFrame]) -> Callable[[], None]:
+            return lambda: self.write(name, make())
+
+        side_by_side(self.spark, *[step(name, make) for name, make in tables.items()])
+
     def bronze(self) -> None:
         """As delivered: redeliveries kept, orders nested, changes in their envelopes."""
         t = self.t
-        self.write("bronze/line_items", fixtures.redelivered_lines(t))
-        self.write("bronze/orders", t.orders)
-        self.write("bronze/web_orders", fixtures.web_orders_nested(t))
-        self.write("bronze/changes", fixtures.change_envelopes(t))
-        self.write("bronze/store_customers", fixtures.store_customers(t))
-        self.write("bronze/web_accounts", fixtures.web_accounts(t))
-        self.write("bronze/country_aliases", fixtures.country_aliases(t))
-        self.write("bronze/fx_quotes", fixtures.fx_quotes(t))
-        self.write("bronze/products", fixtures.product_rollup(self.spark))
+        self.write_all({
+            "bronze/line_items": lambda: fixtures.redelivered_lines(t),
+            "bronze/changes": lambda: fixtures.change_envelopes(t),
+            "bronze/web_orders": lambda: fixtures.web_orders_nested(t),
+            "bronze/orders": lambda: t.orders,
+            "bronze/store_customers": lambda: fixtures.store_customers(t),
+            "bronze/web_accounts": lambda: fixtures.web_accounts(t),
+            "bronze/country_aliases": lambda: fixtures.country_aliases(t),
+            "bronze/fx_quotes": lambda: fixtures.fx_quotes(t),
+            "bronze/products": lambda: fixtures.product_rollup(self.spark),
+        })
 
     def silver(self) -> None:
         """From bronze alone."""
         self.write("silver/customers", fixtures.conform_customers(
             self.read("bronze/store_customers"), self.read("bronze/country_aliases")))
-        self.write("silver/countries", geography.dim_country(self.read("bronze/country_aliases")))
+        changes = self.read("bronze/changes")
+        side_by_side(self.spark, self.sale_lines, lambda: self.write_all({
+            "silver/people": lambda: identity.resolve(
+                self.read("bronze/store_customers"), self.read("bronze/web_accounts"),
+                "cust_id", "user_id",
+            ),
+            "silver/shoppers": lambda: cdc.current_state(cdc.unwrap(changes)),
+            "silver/quarantine": lambda: cdc.broken(changes),
+            "silver/countries": lambda: geography.dim_country(self.read("bronze/country_aliases")),
+        }))
+
+    def sale_lines(self) -> None:
+        """Both channels in one shape, conformed, priced and labelled."""
         customers = self.read("silver/customers")
         landed = self.read("bronze/line_items")
         items = clean.latest_delivery(landed, LINE_ITEM, "delivery_no", n_rows=landed.count())
@@ -75,24 +112,21 @@ class Layers:
             lines = years.hint("rebalance", "fiscal_year")
         enriched = star.enrich(lines, self.read("bronze/products"), rates)
         self.write("silver/sale_lines", star.with_fiscal(enriched), "fiscal_year", dealt=rates.is_sent)
-        people = identity.resolve(
-            self.read("bronze/store_customers"), self.read("bronze/web_accounts"),
-            "cust_id", "user_id",
-        )
-        self.write("silver/people", people)
-        changes = self.read("bronze/changes")
-        self.write("silver/quarantine", cdc.broken(changes))
-        self.write("silver/shoppers", cdc.current_state(cdc.unwrap(changes)))
 
     def gold(self) -> None:
         """From silver alone."""
         lines = self.read("silver/sale_lines")
-        self.write("gold/revenue_summary", star.revenue_summary(lines), partition_by="fiscal_year")
         channels = [lines.filter(F.col("channel") == c) for c in schemas.CHANNELS]
-        self.write("gold/daily_revenue", star.daily_revenue(*channels))
-        self.write("gold/dim_customer", identity.dim_customer(
-            self.read("silver/people"), self.read("silver/customers")))
-        self.write("gold/dim_country", self.read("silver/countries"))
+        side_by_side(
+            self.spark,
+            lambda: self.write("gold/daily_revenue", star.daily_revenue(*channels)),
+            lambda: self.write("gold/revenue_summary", star.revenue_summary(lines), "fiscal_year"),
+            lambda: self.write_all({
+                "gold/dim_customer": lambda: identity.dim_customer(
+                    self.read("silver/people"), self.read("silver/customers")),
+                "gold/dim_country": lambda: self.read("silver/countries"),
+            }),
+        )
 
 
 def build(t: Tables, folder: str) -> Layers:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import threading
 
 import pytest
 
@@ -135,6 +136,28 @@ def test_sale_lines_move_to_their_files_while_narrow(spark, tables, monkeypatch)
     assert "rate_status" in text[:moved] and "rate_status" not in text[moved:]
 
 
+def test_tables_of_a_layer_are_written_side_by_side(spark, tables, monkeypatch):
+    """Nine independent tables: each write waits until all have begun."""
+    met, save = threading.Barrier(9, timeout=120), sinks.write_table
+
+    def waiting(frame, folder, *args, **kwargs):
+        met.wait()
+        return save(frame, folder, *args, **kwargs)
+
+    monkeypatch.setattr(sinks, "write_table", waiting)
+    layers = Layers(tables, new_folder(spark, "t-side"))
+    layers.bronze()
+    assert len(layers.written) == 9 and layers.read("bronze/orders").count() == tables.orders.count()
+
+
+def test_a_table_that_fails_ends_the_build_after_the_others(spark, tables):
+    layers = Layers(tables, new_folder(spark, "t-fails"))
+    bad = lambda: tables.orders.selectExpr("raise_error('no') AS x")
+    with pytest.raises(Exception, match="no"):
+        layers.write_all({"bad": bad, "orders": lambda: tables.orders})
+    assert list(layers.written) == ["orders"]
+
+
 def test_layers_read_the_layer_below_alone(spark, tables):
     """Without the given tables, silver and gold still build; the fact join stands in silver once."""
     layers = Layers(tables, new_folder(spark, "t-layers"))
